@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fathomline.llm import media, mixing, packing, pii, tokencount, toxicity, warczip
+from fathomline.llm import jaccard, media, mixing, packing, pii, tokencount, toxicity, warczip
 from fathomline.llm.common import table
 
 
@@ -34,12 +34,16 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.query(table(spark, sf_dir, "documents"))
+
+
 def op10_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warczip.query(table(spark, sf_dir, "pages"))
 
 
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
-    op1_pii_surrogates, op2_token_counts, op4_packing, op6_media_columns, op7_source_mixing, op8_toxicity, op10_warc_packages,
+    op1_pii_surrogates, op2_token_counts, op4_packing, op6_media_columns, op7_source_mixing, op8_toxicity, op9_ngram_jaccard, op10_warc_packages,
 )
 
 
