@@ -21,7 +21,7 @@ signature is connected, refuted or compared.
 
 Edge cases: null or empty texts and texts without words have the empty set and link with nothing; texts of
 fewer words than a shingle have one shingle, the whole sequence; repeated rows share a class; documents with a
-null id link as others do but never name a component (a component of none but those has a null id); an empty table
+null id link as others do but never name a component (but one of none but those has a null id); an empty table
 gives no rows; other columns are ignored.
 """
 
@@ -345,7 +345,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     else:
         named = rows.join(labels, F.col("cid") == F.col("node"), "left").select("doc_id", "h", "n", F.coalesce("label", "cid").alias("label"))
     named = named.select("doc_id", "h", "n", "label")
-    least = named.where("label is not null").groupBy("label").agg(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "h"))).alias("least"), F.count("*").alias("members"))
+    least = named.where("label is not null").groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("least"), F.count("*").alias("members"))
     # Components of one need no join, so only those of more meet.
     least = staged(least.where("members > 1").select("label", "least"), "jaccard-least")
     out = named.join(least, "label", "left")

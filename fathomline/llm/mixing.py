@@ -57,7 +57,8 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], cap: int, slopes:
 
 
 def mix(docs: DataFrame, weights=(1, 2, 3), cap: int = 3, slopes=(-0.5, 0.0, 0.5), carry: tuple[str, ...] = ()) -> DataFrame:
-    """Per document: doc_id, size, source_size, target, taken, passes (first word and words of each pass), position.
+    """Per document: doc_id, size, source_size, target, taken, position, and of each of ``cap`` passes its words
+    (``passes``) and position (``places``).
 
     ``carry`` names further columns of ``docs`` to keep (they travel through one shuffle).
     """
@@ -78,15 +79,30 @@ def mix(docs: DataFrame, weights=(1, 2, 3), cap: int = 3, slopes=(-0.5, 0.0, 0.5
     def words(p: int):  # of pass p: the part of [p * source_size + start, + size) that lies before the goal
         return F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), F.col("goal") - p * F.col("source_size") - F.col("start")))
 
-    u, a = F.col("start") / F.col("goal"), F.col("slope")
-    place = 2 * u / ((1 - a) + F.sqrt((1 - a) * (1 - a) + 4 * a * u))
+    def place(p: int):  # the inverse of the schedule's integral at the pass's first word
+        u, a = (F.col("start") + p * F.col("source_size")) / F.col("goal"), F.col("slope")
+        return F.when(words(p) > 0, F.round(2 * u / ((1 - a) + F.sqrt((1 - a) * (1 - a) + 4 * a * u)), 9))
+
     taken = sum((words(p) for p in range(1, cap)), words(0))
     return placed.select(
-        "doc_id", "size", "source_size", "target", taken.alias("taken"), F.array(*[words(p) for p in range(cap)]).alias("passes"),
-        "start", "goal", "slope", F.when(taken > 0, F.round(place, 9)).alias("position"), *[F.col(f"carry_{c}") for c in carry],
+        "doc_id", "size", "source_size", "target", taken.alias("taken"), place(0).alias("position"),
+        F.array(*[words(p) for p in range(cap)]).alias("passes"), F.array(*[place(p) for p in range(cap)]).alias("places"), *[F.col(f"carry_{c}") for c in carry],
     )
 
 
+def mixed(docs: DataFrame, columns: tuple[str, ...], **how) -> DataFrame:
+    """The mix itself: a row for each pass of each document it takes, whole columns carried, in training order.
+
+    A pass that ends inside a document has its first words; documents without words are in no pass.
+    """
+    carry = tuple(c for c in columns if c != "doc_id")
+    rows = mix(docs, carry=carry, **how)
+    rows = rows.select("doc_id", "size", *[F.col(f"carry_{c}").alias(c) for c in carry], F.explode(F.arrays_zip("passes", "places")).alias("mix_pass")).where("mix_pass.passes > 0")
+    start = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})"), 1), F.lit(1), F.col("mix_pass.passes").cast("int")), " ")
+    rows = rows.withColumn("text", F.when(F.col("mix_pass.passes") == F.col("size"), F.col("text")).otherwise(start))
+    return rows.orderBy("mix_pass.places", "doc_id").select(*columns)
+
+
 def query(docs: DataFrame) -> DataFrame:
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken", "position").orderBy(F.col("position").asc_nulls_last(), "doc_id")
 

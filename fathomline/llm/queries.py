@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fathomline.llm import imatch, jaccard, media, mixing, packing, pii, tokencount, toxicity, warczip
+from fathomline.llm import imatch, jaccard, media, mixing, packing, pii, suffix, tokencount, toxicity, warczip
 from fathomline.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.query(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.query(table(spark, sf_dir, "documents"))
+
+
 def op6_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.query(table(spark, sf_dir, "documents"))
 
@@ -47,7 +51,7 @@ def op10_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
-    op1_pii_surrogates, op2_token_counts, op3_imatch_fingerprints, op4_packing, op6_media_columns, op7_source_mixing, op8_toxicity, op9_ngram_jaccard, op10_warc_packages,
+    op1_pii_surrogates, op2_token_counts, op3_imatch_fingerprints, op4_packing, op5_suffix_dedup, op6_media_columns, op7_source_mixing, op8_toxicity, op9_ngram_jaccard, op10_warc_packages,
 )
 
 
