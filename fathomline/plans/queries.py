@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.functions.geo import boxes_meet, times_meet
+from fathomline.functions.geo import boxes_meet
 from fathomline.operators.cells import fact_cell
 from fathomline.operators.heatmap import difference, selected, union_pixels
 
@@ -94,8 +94,8 @@ def stored_cells(facts: DataFrame, w: Window) -> DataFrame:
 
 
 def lazy_cells(trajectories: DataFrame, size: int, keys: tuple[str, ...], w: Window) -> DataFrame:
-    """The same from trajectories at query time: only those whose boxes meet the window are cut, then cells outside it go."""
-    near = boxes_meet(*w.box) & w.times(upper_inclusive=True)
+    """The same from trajectories at query time: only those whose boxes come within a cell of the window are cut, then cells outside it go."""
+    near = boxes_meet(w.xmin - size, w.ymin - size, w.xmax + size, w.ymax + size) & w.times(upper_inclusive=True)
     return stored_cells(fact_cell(trajectories, size, keys, window=near), w)
 
 
@@ -107,4 +107,4 @@ def star(facts: DataFrame, dims: dict[str, tuple[DataFrame, str, str]]) -> DataF
     return facts
 
 
-__all__ = ["Window", "cell_query", "crosses_box", "heatmap_difference", "heatmap_query", "lazy_cells", "ships_of_types", "star", "stored_cells", "times_meet", "trajectory_query"]
+__all__ = ["Window", "cell_query", "crosses_box", "heatmap_difference", "heatmap_query", "lazy_cells", "ships_of_types", "star", "stored_cells", "trajectory_query"]
