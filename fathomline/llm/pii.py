@@ -1,7 +1,7 @@
 """PII surrogates: detected entities get keyed, type-consistent replacements.
 
 Types: e-mail address, telephone number, payment card number, IPv4 address, IBAN, US social security number, secret
-token, personal name. A surrogate is made from an HMAC of (type, canonical value, attempt): the same entity gets the
+(token, password), personal name (after an honorific, or a listed given name before a listed family name). A surrogate is made from an HMAC of (type, canonical value, attempt): the same entity gets the
 same surrogate everywhere (coreference), in the format it was written in (separators, letter case, length, Luhn or
 mod-97 check digits, private or public address range). Names are replaced word by word, given names by given names
 of the same gender, family names by family names, in the script of the original; so "Ms Anna Weber" and "Weber" stay
@@ -36,7 +36,7 @@ ROUNDS = 12
 
 # Given names by script and gender, family names by script, honorifics.
 GIVEN = {
-    ("latin", "f"): "Alice Anna Carla Clara Daniela Elena Emma Eva Greta Hanna Helena Ines Irene Isabel Julia Karin Laura Lena Lucia Maria Marta Mary Nina Nora Olga Paula Petra Rosa Sara Sofia Susan Teresa Vera".split(),
+    ("latin", "f"): "Alice Anna Carla Clara Daniela Elena Emma Eva Greta Hanna Helena Irene Isabel Julia Karin Laura Lena Lucia Maria Marta Mary Nina Nora Olga Paula Petra Rosa Sara Sofia Susan Teresa Vera".split(),
     ("latin", "m"): "Adam Albert Anton Bruno Carlos Daniel David Diego Emil Erik Felix Frank Georg Hans Henry Hugo Ivan Jakob James John Karl Leo Lukas Marco Martin Max Oscar Paul Peter Robert Simon Thomas Viktor".split(),
     ("cyrillic", "f"): "Анна Вера Галина Дарья Елена Ирина Мария Наталья Ольга Татьяна".split(),
     ("cyrillic", "m"): "Алексей Андрей Борис Виктор Дмитрий Иван Михаил Николай Пётр Сергей".split(),
@@ -52,16 +52,17 @@ _FAMILY = {name: script for script, names in FAMILY.items() for name in names}
 _CAP = r"[A-ZÀ-ÖØ-ÞА-ЯЁ][a-zß-öø-ÿа-яё'’-]+"
 _DIGIT_KINDS = re.compile(
     r"(?P<email>(?<![\w.+-])[\w.+-]+@[\w-]+(?:\.[\w-]+)+)"
-    r"|(?P<token>(?<![\w-])(?:gh[pousr]_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9]{20,}|AKIA[A-Z0-9]{16}|(?=[0-9a-f]*[a-f])(?=[0-9a-f]*\d)[0-9a-f]{32,64})(?![\w-]))"
+    r"|(?P<token>(?<![\w-])(?:gh[pousr]_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9]{20,}|AKIA[A-Z0-9]{16}|(?=[0-9a-fA-F]*[a-fA-F])(?=[0-9a-fA-F]*\d)[0-9a-fA-F]{32,64})(?![\w-]))"
+    r"|(?:(?:[Pp]assword|PASSWORD|passwd|pwd|[Ss]ecret|SECRET|[Tt]oken|TOKEN|api_?key|API_?KEY) ?[=:] ?[\"']?)(?P<secret>[^\s\"'<>,;]{6,128})"
     r"|(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w))"
     r"|(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d))"
     r"|(?P<ssn>(?<![\d-])(?!000|666|9\d\d)\d{3}-(?!00)\d\d-(?!0000)\d{4}(?![\d-]))"
     r"|(?P<card>(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-]))"
-    r"|(?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{2,4}(?:[ .-]\d{2,5}){1,3}(?![\w-]))"
+    r"|(?P<phone>(?<![\w+])(?:(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}|\+\d{1,3}(?:[ .-]\d{2,8}){2,5}(?!\.\d)|\d{3}[ .-]\d{3}[ .-]\d{4})(?![\w-]))"
 )
 #: Cheap and never misses: where no digit with two more near it and no @ stands, no entity of the above kinds does.
 _CANDIDATE = re.compile(r"@|\d")
-_NAME = re.compile(rf"(?<!\w)(?:(?P<title>{'|'.join(HONORIFICS)}|Dr)\.? (?P<rest>{_CAP}(?: {_CAP}){{0,2}})|(?P<full>(?:{'|'.join(_GENDER)})(?: {_CAP})+))(?!\w)")
+_NAME = re.compile(rf"(?<!\w)(?:(?P<title>{'|'.join(HONORIFICS)}|Dr)\.? (?P<rest>{_CAP}(?: {_CAP}){{0,2}})|(?P<full>(?:{'|'.join(_GENDER)})(?: {_CAP})? (?:{'|'.join(_FAMILY)})))(?!\w)")
 _NAME_HINT = re.compile(rf"(?<!\w)(?:{'|'.join(HONORIFICS)}|Dr|{'|'.join(_GENDER)})(?!\w)")
 
 
@@ -110,7 +111,7 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
     if kind == "email":
         local, _, domain = value.lower().partition("@")
         n = _mac(key, "email", local, domain, attempt)
-        name = GIVEN["latin", "fm"[n % 2]][(n >> 8) % 33].lower() + "." + FAMILY["latin"][(n >> 16) % len(FAMILY["latin"])].lower() + f"{(n >> 32) % 10**6:06d}"
+        name = GIVEN["latin", "fm"[n % 2]][(n >> 8) % 32].lower() + "." + FAMILY["latin"][(n >> 16) % len(FAMILY["latin"])].lower() + f"{(n >> 32) % 10**6:06d}"
         host = _mac(key, "domain", domain) % 10**8  # one surrogate domain for each domain
         out = f"{name}@d{host:08d}.example.{domain.rsplit('.', 1)[-1] if domain.rsplit('.', 1)[-1] in ('com', 'net', 'org') else 'org'}"
         return out.upper() if value.isupper() else out
@@ -149,11 +150,15 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
     if kind == "token":
         prefix = re.match(r"gh[pousr]_|sk-|AKIA|", value)[0]
         body, n, out = value[len(prefix) :], 0, []
+        alphabet = "0123456789abcdef" if re.fullmatch(r"[0-9a-f]+", body) else "0123456789ABCDEF" if re.fullmatch(r"[0-9A-F]+", body) else ""
         for i, c in enumerate(body):
             if i % 32 == 0:
                 n = _mac(key, "token", value, i, attempt)
             n, r = divmod(n, 256)
-            out.append("0123456789abcdef"[r % 16] if re.fullmatch(r"[0-9a-f]+", body) else chr(48 + r % 10) if c.isdigit() else chr((97 if c.islower() else 65) + r % 26))
+            if alphabet:
+                out.append(alphabet[r % 16])
+            else:
+                out.append(chr(48 + r % 10) if c.isdigit() else chr((97 if c.islower() else 65) + r % 26) if c.isalpha() else c)
         return prefix + "".join(out)
     raise ValueError(kind)
 
@@ -178,14 +183,16 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
     found = []
     if _CANDIDATE.search(text):
         for m in _DIGIT_KINDS.finditer(text):
-            value = m[0]
-            if m.lastgroup == "card" and not 13 <= sum(c.isdigit() for c in value) <= 19:
+            kind = m.lastgroup
+            value = m[kind]
+            if kind == "card" and not 13 <= sum(c.isdigit() for c in value) <= 19:
                 continue
-            if m.lastgroup == "phone" and not (7 <= sum(c.isdigit() for c in value) <= 15):
+            if kind == "phone" and not (7 <= sum(c.isdigit() for c in value) <= 15):
                 continue
-            if m.lastgroup == "email":
+            if kind == "email":
                 value = value.rstrip(".-")
-            found.append((m.start(), m.start() + len(value), m.lastgroup, value))
+            at = m.start(kind)
+            found.append((at, at + len(value), "token" if kind == "secret" else kind, value))
     if _NAME_HINT.search(text):
         for m in _NAME.finditer(text):
             part = "rest" if m["title"] else "full"
