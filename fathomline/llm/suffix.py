@@ -14,7 +14,7 @@ predecessor. Common prefixes of adjacent suffixes of LENGTH bytes or more mark r
 Skew: equal documents are one text throughout (a document with an equal partner is removed whole, if it is long
 enough, and its text still meets the others). Anchors are counted after partial aggregation. Anchor groups of more
 than GROUP fragments are salted over several sorts; what is left unmatched there, and one suffix of each class found,
-meet by a hash of their LENGTH bytes in an aggregation.
+meet in an aggregation, first by a hash of the bytes that some neighbouring strings share, then by that of each.
 
 Edge cases: a null text is empty; texts shorter than LENGTH bytes keep all; strings never cross documents; repeated
 rows are equal documents; runs of one byte or of a period collapse into counted fragments; an empty table gives no
@@ -36,6 +36,7 @@ from fathomline.llm.shingles import blocks, mix, prefix_hashes
 
 LENGTH, GRAM = 200, 64
 GROUP = 1000
+NEIGHBOURS = 8
 BLOCK_BYTES = 1 << 20
 _LOW = np.uint64(0xFFFFFFFF)
 
@@ -163,9 +164,19 @@ def fragments(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> Ite
         yield a + doc[head], g[own[head]].astype(np.int64), digest[head].astype(np.int64), first[head] - at[doc[head]], n[head], copies
 
 
-def window_hashes(fragment: bytes, n: int, length: int = LENGTH) -> np.ndarray:
+def neighbours(fragment: bytes, n: int, shown: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Of some owned starts: (hash of the bytes shared, starts, hashes of their strings), NEIGHBOURS starts or fewer together."""
     sums, scale = prefix_hashes(np.frombuffer(fragment, np.uint8))
-    return mix((sums[length : length + n] - sums[:n]) * scale[:n], 13).astype(np.int64)
+    keys = mix((sums[length : length + n] - sums[:n]) * scale[:n], 13).astype(np.int64)
+    g = mix((sums[gram:] - sums[:-gram]) * scale[: len(fragment) - gram + 1], 11)[: length - gram + 1]
+    anchor = int(np.argmin(g >> np.uint64(32)))
+    group = (anchor - shown) // NEIGHBOURS
+    for b in np.unique(group).tolist():
+        first = anchor - b * NEIGHBOURS  # the last start of the group; all its strings hold the bytes from here
+        end = first - NEIGHBOURS + 1 + length
+        key = int(mix((sums[end : end + 1] - sums[first : first + 1]) * scale[first : first + 1] + np.uint64(b), 14).astype(np.int64)[0])
+        at = shown[group == b]
+        yield key, at, keys[at]
 
 
 def _runs(flags: np.ndarray) -> np.ndarray:
@@ -221,14 +232,16 @@ def _compressed(texts: DataFrame, once: bool) -> DataFrame:
     return texts.mapInArrow(run, schema)
 
 
-def _sorted_groups(rows: DataFrame, length: int) -> DataFrame:
+def _sorted_groups(rows: DataFrame, length: int, gram: int) -> DataFrame:
     """Suffix sort of (hash, salt, salted, digest, single, rid, start, n, fragment), whole (hash, salt) groups together.
 
-    Kind 0: (rid, lo, hi) repeated starts of single fragments. Kind 1, of salted groups: (rid, lo = start,
-    hash, key = hash of the string there) of what is unmatched, and of one suffix of each class.
+    Kind 0: (rid, lo, hi) repeated starts of single fragments. Kind 1, of salted groups: what is unmatched, and one
+    suffix of each class. These rows hold the starts of up to NEIGHBOURS neighbouring strings and their hashes;
+    ``key`` is a hash of the bytes that the strings share, cut at places counted from the anchor, so strings
+    that are equal are in rows whose keys are.
     """
-    names = ["kind", "rid", "lo", "hi", "hash", "key", "single"]
-    kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()]
+    names = ["kind", "rid", "lo", "hi", "hash", "key", "single", "starts", "keys"]
+    kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int32()), pa.list_(pa.int64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -240,11 +253,10 @@ def _sorted_groups(rows: DataFrame, length: int) -> DataFrame:
             for r, hit, lead in zip(held, hits, leads, strict=True):
                 if r["single"]:
                     edges = (_runs(hit) + r["start"]).tolist()
-                    out += [(0, r["rid"], lo, hi, None, None, None) for lo, hi in zip(edges[::2], edges[1::2], strict=True)]
+                    out += [(0, r["rid"], lo, hi, None, None, None, None, None) for lo, hi in zip(edges[::2], edges[1::2], strict=True)]
                 if r["salted"]:
-                    keys = window_hashes(r["fragment"], r["n"], length)
-                    show = np.flatnonzero(lead | ~hit)
-                    out += [(1, r["rid"], r["start"] + i, None, r["hash"], k, r["single"]) for i, k in zip(show.tolist(), keys[show].tolist(), strict=True)]
+                    for key, at, keys in neighbours(r["fragment"], r["n"], np.flatnonzero(lead | ~hit), length, gram):
+                        out.append((1, r["rid"], r["start"] + int(at[0]), None, r["hash"], key, r["single"], (at + r["start"]).tolist(), keys.tolist()))
             held.clear()
             for i in range(0, len(out), 20_000):
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[i : i + 20_000], strict=True), kinds, strict=True)], names)
@@ -262,7 +274,7 @@ def _sorted_groups(rows: DataFrame, length: int) -> DataFrame:
             yield from flush()
 
     cols = ["hash", "salt", "salted", "single", "rid", "start", "n", "fragment"]
-    return rows.repartition("hash", "salt").sortWithinPartitions("hash", "salt", "digest").select(*cols).mapInArrow(run, "kind int, rid long, lo int, hi int, hash long, key long, single boolean")
+    return rows.repartition("hash", "salt").sortWithinPartitions("hash", "salt", "digest").select(*cols).mapInArrow(run, "kind int, rid long, lo int, hi int, hash long, key long, single boolean, starts array<int>, keys array<long>")
 
 
 def repeats(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -304,12 +316,16 @@ def repeats(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFra
     rows = rows.mapInArrow(cut, "hash long, digest long, single boolean, rid long, start int, n int, size long, fragment binary")
     salts = F.ceil(F.col("size") / GROUP)
     rows = rows.select("*", F.pmod("digest", salts).alias("salt"), (salts > 1).alias("salted"))
-    rows = staged(_sorted_groups(rows, length).distinct(), "suffix-sorted")  # equal texts of several tasks cut the same fragments
+    rows = staged(_sorted_groups(rows, length, gram).distinct(), "suffix-sorted")  # equal texts of several tasks cut the same fragments
 
     parts = rows.where("kind = 0").select("rid", "lo", "hi")
     met = rows.where("kind = 1")
-    keys = staged(met.groupBy("hash", "key").agg(F.min(F.struct("rid", "lo")).alias("x"), F.max(F.struct("rid", "lo")).alias("y")).where("x <> y").select("hash", "key"), "suffix-met")
-    across = met.where("single").join(keys, ["hash", "key"]).select("rid", "lo", (F.col("lo") + 1).alias("hi"))
+    place = F.struct("rid", "lo")
+    keys = staged(met.groupBy("hash", "key").agg(F.min(place).alias("x"), F.max(place).alias("y")).where("x <> y").select("hash", "key"), "suffix-met")
+    each = met.join(keys, ["hash", "key"]).select("hash", "rid", "single", F.explode(F.arrays_zip(F.col("starts").alias("lo"), F.col("keys").alias("string"))).alias("s")).select("hash", "rid", "single", "s.*")
+    each = staged(each, "suffix-strings")
+    keys = staged(each.groupBy("hash", "string").agg(F.min(place).alias("x"), F.max(place).alias("y")).where("x <> y").select("hash", "string"), "suffix-met")
+    across = each.where("single").join(keys, ["hash", "string"]).select("rid", "lo", (F.col("lo") + 1).alias("hi"))
     return whole.unionByName(parts).unionByName(across)
 
 
