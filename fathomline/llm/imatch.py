@@ -67,11 +67,13 @@ def with_fingerprint(df: DataFrame, text: str, bits: DataFrame, prefix: str) ->
     df = df.withColumn(f"{prefix}_lexicon", bits.scalar()).withColumn(kept, F.filter(all_, in_lexicon)).drop(f"{prefix}_lexicon")
     df = df.withColumn(level, F.when(F.size(kept) == 0, -1).otherwise(F.floor(F.log2(F.size(kept).cast("double") + 0.5)) + 1).cast("int"))
 
-    def subset(j: Column) -> Column:
-        mask = F.expr(f"shiftleft(1L, {level})") * F.when(j < SUBSETS, 1).otherwise(2) - 1
-        return F.filter(kept, lambda t: F.xxhash64(t, j).bitwiseAND(mask) == 0)
-
-    df = df.withColumn(subsets, F.when(F.col(level) < 0, F.array(F.col(all_))).otherwise(F.transform(F.array(*[F.lit(j) for j in range(2 * SUBSETS)]), subset)))
+    numbers = F.array(*[F.lit(j) for j in range(SUBSETS)])
+    mask = F.expr(f"shiftleft(1L, greatest({level}, 0))") - 1
+    # A subset of half the density is part of that of the full one, so it is looked for in what that has left.
+    full = F.transform(numbers, lambda j: F.filter(kept, lambda t: F.xxhash64(t, j).bitwiseAND(mask) == 0))
+    df = df.withColumn(subsets, F.when(F.col(level) < 0, F.array(F.col(all_))).otherwise(full))
+    half = F.transform(subsets, lambda s, j: F.filter(s, lambda t: F.xxhash64(t, j).bitwiseAND(mask * 2 + 1) == 0))
+    df = df.withColumn(subsets, F.when(F.col(level) < 0, F.col(subsets)).otherwise(F.concat(F.col(subsets), half)))
     hashed = F.transform(subsets, lambda s: F.when((F.size(s) == 0) & (F.col(level) >= 0), "-").otherwise(F.lower(F.lpad(F.hex(F.shiftrightunsigned(F.xxhash64(s), 32)), 8, "0"))))
     return df.withColumn(subs, hashed).drop(all_, kept, subsets)
 
