@@ -34,7 +34,7 @@ from fathomline.llm.tokens import encoder
 WINDOW = 1024
 SHARD = 1024
 VOCABULARY = 50_257
-QUERY_TERMS = 16
+QUERY_TERMS = 32
 K1, B = 1.2, 0.75
 
 OUT = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
