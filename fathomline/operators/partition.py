@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from fathomline.schema import DOMAIN, TILE
 
 
+MOST_LEAVES = 10_000
+
+
 @dataclass(frozen=True)
 class Leaf:
     xmin: int
@@ -94,7 +97,9 @@ def build_partitions(facts: DataFrame, leaves: int = 400, domain: tuple[int, int
 
 def assign_partition(boxes: DataFrame, partitions: DataFrame, names=("xmin", "ymin", "xmax", "ymax")) -> DataFrame:
     """The partition that covers each box, half-open at the upper edges: a box that only touches them from inside is covered,
-    one that begins there is the neighbour's. Boxes in none are dropped. The partitions are a few hundred rows."""
+    one that begins there is the neighbour's. Boxes in none are dropped. The partitions are broadcast; MOST_LEAVES bounds them."""
+    if partitions.count() > MOST_LEAVES:
+        raise ValueError(f"more than {MOST_LEAVES} partitions")
     a, b, c, d = map(F.col, names)
     p = partitions.select("partition_id", *[F.col(k).alias(f"p_{k}") for k in ("xmin", "ymin", "xmax", "ymax")])
     cond = (a >= F.col("p_xmin")) & (c <= F.col("p_xmax")) & (b >= F.col("p_ymin")) & (d <= F.col("p_ymax")) & (F.col("p_ymax") != b) & (F.col("p_xmax") != a)
