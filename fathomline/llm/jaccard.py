@@ -11,9 +11,10 @@ shingles lie among its first n - o + c.
   cost: subsets to write for all sets up to it against prefix shingles and the list entries they meet,
   from the histogram of set sizes over the whole table.
 
-A list is scanned from pivots: first its first member against all others, then the next two, four ... Pairs that
-are connected by then are not compared, so a list of thousands of near copies costs about one comparison for each
-member; lists whose members are all connected are dropped. Pairs pass a size test and a parity-bitmap test
+First each class is compared with the first member of one of its lists, which connects most near copies of one
+text. What is connected by then is not compared again, and lists whose members are all connected are dropped.
+Lists of at most SHORT classes are then scanned whole; longer ones by blocks of their members, two at a
+time, where only pairs that pass the tests become rows. Where a round has many pairs, one for each class comes first. Pairs pass a size test and a parity-bitmap test
 (the bitmaps differ in no more bits than the sets do in members) before the sets themselves are compared. The sets
 are computed again from the texts for the classes that need them, found through a bitmap of bounded size and a
 join; hash joins on skewed keys are left to be split at run time. Nothing is dropped: each pair with a common
@@ -43,11 +44,16 @@ from fathomline.llm.shingles import mix, shingle_sets
 
 SUBSET = 2
 #: Frequent shingles put last in the order, at most; the order never changes results.
-FREQUENT = 65_536
-FREQUENT_COUNT = 32
-LOCAL_COUNT = 4
+FREQUENT = 1 << 18
+FREQUENT_COUNT = 16
+LOCAL_COUNT = 2
+#: Lists of at most so many classes are scanned at once, all pairs; longer ones by blocks.
+SHORT = 16
+BLOCK = 1024
 #: Bits of the bitmap that tells which classes need their sets.
 FILTER_BITS = 1 << 24
+#: Up to so many classes, their text hashes are sent to all tasks instead.
+FEW = 20_000
 _HELD = 4_000_000
 
 
@@ -56,9 +62,9 @@ def ceil_div(a: int, b: int) -> int:
 
 
 def bitmap(shingles: np.ndarray) -> bytes:
-    """Parities of the counts of shingles by hash, in the next power of two of 0.4 n bits, 64 at least."""
+    """Parities of the counts of shingles by hash, in the next power of two of 2 n bits, 64 at least."""
     bits = 64
-    while bits < 0.4 * len(shingles):
+    while bits < 2 * len(shingles):
         bits *= 2
     odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
@@ -229,13 +235,11 @@ def _signatures(docs: DataFrame, k: int, seed: int, order: Order, scheme: Scheme
     return docs.select(text_or_empty().alias("text")).mapInArrow(run, "sig long, cid long, n int")
 
 
-def _sets(docs: DataFrame, k: int, seed: int, needed: DataFrame) -> DataFrame:
-    """(cid, set) of the classes in ``needed``, one row each."""
-    slot = (F.pmod("cid", F.lit(FILTER_BITS)) + 1).alias("slot")  # bitmap positions count from 1
-    parts = needed.select(slot).groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")).collect()
-    flags = np.zeros(FILTER_BITS // 8 + 4096, np.uint8)  # FILTER_BITS bits, whatever the number of classes
-    for r in parts:
-        flags[(r["bucket"] - 1) * 4096 :][:4096] = np.frombuffer(r["bits"], np.uint8)
+def _sets(docs: DataFrame, k: int, seed: int, needed: DataFrame, rows: DataFrame) -> DataFrame:
+    """(cid, set) of the classes in ``needed``, one row each, from one pass over the texts.
+
+    A few classes are found by the hash of a text of theirs, so that only those texts leave the scan. Many are found
+    through a bitmap of their ids of bounded size, where the sets are made, and a join."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -245,15 +249,24 @@ def _sets(docs: DataFrame, k: int, seed: int, needed: DataFrame) -> DataFrame:
                 if not len(s) or (cid := _set_key(s)[0]) in seen:
                     continue
                 at = cid % FILTER_BITS
-                if flags[at >> 3] >> (at & 7) & 1:
+                if flags is None or flags[at >> 3] >> (at & 7) & 1:
                     seen.add(cid)
                     cids.append(cid)
                     sets.append(s.tobytes())
             if cids:
                 yield pa.RecordBatch.from_arrays([pa.array(cids, pa.int64()), pa.array(sets, pa.binary())], ["cid", "members"])
 
-    found = docs.select(text_or_empty().alias("text")).mapInArrow(run, "cid long, members binary")
-    return found.join(needed, "cid", "left_semi").dropDuplicates(["cid"])
+    texts, flags = docs.select(text_or_empty().alias("text")), None
+    if needed.count() <= FEW:
+        one = rows.join(F.broadcast(needed), "cid").groupBy("cid").agg(F.min("h").alias("text_hash")).select("text_hash")
+        texts = texts.join(F.broadcast(one), F.xxhash64("text") == F.col("text_hash"), "left_semi")
+    else:
+        slot = (F.pmod("cid", F.lit(FILTER_BITS)) + 1).alias("slot")  # bitmap positions count from 1
+        parts = needed.select(slot).groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")).collect()
+        flags = np.zeros(FILTER_BITS // 8 + 4096, np.uint8)  # FILTER_BITS bits, whatever the number of classes
+        for r in parts:
+            flags[(r["bucket"] - 1) * 4096 :][:4096] = np.frombuffer(r["bits"], np.uint8)
+    return texts.mapInArrow(run, "cid long, members binary").join(needed, "cid", "left_semi").dropDuplicates(["cid"])
 
 
 def _near(pairs: DataFrame, bits: DataFrame, num: int, den: int) -> DataFrame:
@@ -270,6 +283,64 @@ def _near(pairs: DataFrame, bits: DataFrame, num: int, den: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").where(may("bits_a", "bits_b", "na", "nb")).select("a", "b")
 
 
+def bits_apart_all(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """In how many bits each row of a differs from each row of b; 64-bit words, the wider matrix is folded."""
+    while a.shape[1] > b.shape[1]:
+        a = a[:, : a.shape[1] // 2] ^ a[:, a.shape[1] // 2 :]
+    while b.shape[1] > a.shape[1]:
+        b = b[:, : b.shape[1] // 2] ^ b[:, b.shape[1] // 2 :]
+    return np.stack([np.bitwise_count(row ^ b).sum(1, dtype=np.int64) for row in a]) if len(a) else np.empty((0, len(b)), np.int64)
+
+
+def _block_pairs(at: DataFrame, bits: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs of one list, not connected, that sizes and bitmaps do not refute, for long lists.
+
+    A list is cut into blocks of BLOCK members and each two blocks meet once, as matrices of bitmaps; only what
+    passes becomes a row. A member is sent once for each block of its list."""
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    block = F.floor((F.col("rank") - 1) / BLOCK).cast("int")
+    rows = at.join(bits, "cid").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    rows = rows.select("sig", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cid", "n", "label", "bits")
+
+    def meet(held: list[tuple]) -> tuple[np.ndarray, np.ndarray] | None:
+        (_, i, j), groups = held[0][:3], {}
+        for r in held:
+            groups.setdefault((r[3], len(r[7])), []).append(r)
+        found = []
+        for (x, wx), one in groups.items():
+            for (y, wy), two in groups.items():
+                if x != i or y != j or (i == j and wx > wy):
+                    continue
+                cols = [[np.array([r[c] for r in g], np.int64) for c in (4, 5, 6)] for g in (one, two)]
+                (ca, na, la), (cb, nb, lb) = cols
+                words = [np.frombuffer(b"".join(r[7] for r in g), np.uint64).reshape(len(g), -1) for g in (one, two)]
+                na, nb = na[:, None], nb[None, :]
+                ok = (np.minimum(na, nb) * den >= np.maximum(na, nb) * num) & (la[:, None] != lb[None, :])
+                ok &= bits_apart_all(*words) <= na + nb - 2 * -(-num * (na + nb) // (num + den))
+                p, q = np.nonzero(ok)
+                p, q = ca[p], cb[q]
+                found.append((np.minimum(p, q), np.maximum(p, q)))
+        if not found:
+            return None
+        a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+        pairs = np.unique(np.stack([a, b])[:, a != b], axis=1)
+        return (pairs[0], pairs[1]) if pairs.shape[1] else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        done = lambda: [pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["a", "b"])] if held and (found := meet(held)) else []
+        for b in batches:
+            for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if held and r[:3] != held[0][:3]:
+                    yield from done()
+                    held = []
+                held.append(r)
+        yield from done()
+
+    rows = rows.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
+    return staged(rows.mapInArrow(run, "a long, b long").distinct(), "jaccard-pairs")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -285,6 +356,70 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     return pairs.join(two, "b").join(one, "a").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+class _State:
+    """What is known so far: sets fetched, labels of components."""
+
+    def __init__(self, docs: DataFrame, rows: DataFrame, k: int, seed: int, num: int, den: int) -> None:
+        self.rows = rows
+        self.docs, self.k, self.seed, self.num, self.den = docs, k, seed, num, den
+        self.sets: DataFrame | None = None
+        self.labels: DataFrame | None = None
+
+    def nodes(self, pairs: DataFrame) -> DataFrame:
+        return staged(pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct(), "jaccard-nodes")
+
+    def fetch(self, needed: DataFrame) -> None:
+        """Get the sets of classes that are not there yet."""
+        if self.sets is not None:
+            needed = needed.join(self.sets.select("cid"), "cid", "left_anti")
+        needed = staged(needed, "jaccard-needed")
+        if self.sets is None or needed.limit(1).count():
+            more = staged(_sets(self.docs, self.k, self.seed, needed, self.rows), "jaccard-sets")
+            self.sets = more if self.sets is None else self.sets.unionByName(more)
+
+    def still_open(self, lists: DataFrame, first: int) -> DataFrame:
+        """Lists, with labels, that have members in several components and are not scanned to their end."""
+        if self.labels is None:
+            at = lists.withColumn("label", F.col("cid"))
+        else:
+            at = lists.join(self.labels, F.col("cid") == F.col("node"), "left").select(*lists.columns, F.coalesce("label", "cid").alias("label"))
+        apart = at.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("sig")
+        return staged(at.where(F.col("members") > first).join(staged(apart, "jaccard-apart"), "sig", "left_semi"), "jaccard-open")
+
+    def apart(self, pairs: DataFrame) -> DataFrame:
+        """Pairs that are not connected yet."""
+        if self.labels is None:
+            return pairs
+        one = self.labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
+        two = self.labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+        return pairs.join(one, "a", "left").join(two, "b", "left").where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
+
+    def compare(self, pairs: DataFrame) -> None:
+        pairs = staged(pairs, "jaccard-compare")
+        if not pairs.limit(1).count():
+            return
+        nodes = self.nodes(pairs)
+        self.fetch(nodes)
+        sets = self.sets.join(nodes, "cid", "left_semi")
+        found = staged(_verified(pairs, sets, self.num, self.den), "jaccard-links")
+        if found.limit(1).count():
+            self.join(found)
+
+    def join(self, links: DataFrame) -> None:
+        """Merge components along links: these are few nodes, the labels so far, however large the components."""
+        if self.labels is None:
+            self.labels = staged(components(links), "jaccard-labels")
+            return
+        one = self.labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
+        two = self.labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+        roots = links.join(one, "a", "left").join(two, "b", "left").select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
+        merged = staged(components(roots), "jaccard-merged")
+        moved = merged.select(F.col("node").alias("label"), F.col("label").alias("to"))
+        old = self.labels.join(moved, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+        new = merged.join(self.labels.select("node"), "node", "left_anti").select("node", "label")
+        self.labels = staged(old.unionByName(new), "jaccard-labels")
+
+
 def linked_classes(docs: DataFrame, k: int, num: int, den: int, boundary: int | None = None) -> tuple[DataFrame, DataFrame | None]:
     """Documents (doc_id, h, n, cid) and, if any classes link, (node, label) of those: the components of classes."""
     small_batches(docs.sparkSession)
@@ -305,34 +440,34 @@ def linked_classes(docs: DataFrame, k: int, num: int, den: int, boundary: int |
     by = W.partitionBy("sig").orderBy("cid")
     lists = _signatures(docs, k, seed, order, scheme).withColumn("before", F.lag("cid").over(by)).withColumn("last", F.max("cid").over(W.partitionBy("sig")))
     lists = lists.where("last <> cid or before <> cid").where("before is null or before <> cid").select("sig", "cid", "n", F.dense_rank().over(by).alias("rank"))
-    lists = staged(lists, "jaccard-lists")
+    lists = staged(lists.withColumn("members", F.max("rank").over(W.partitionBy("sig"))), "jaccard-lists")
     bits = staged(rows.where("n > 0").groupBy("cid").agg(F.first("bits").alias("bits")), "jaccard-bitmaps")
 
-    labels, links, first, width = None, None, 1, 1
-    while True:
-        at = lists.withColumn("label", F.col("cid")) if labels is None else lists.join(labels, F.col("cid") == F.col("node"), "left").select("sig", "cid", "n", "rank", F.coalesce("label", "cid").alias("label"))
-        if labels is not None:  # done with lists that are connected or scanned to their end
-            whole = W.partitionBy("sig")
-            at = at.select("*", F.min("label").over(whole).alias("lo"), F.max("label").over(whole).alias("hi"), F.max("rank").over(whole).alias("end")).where(F.col("lo") != F.col("hi")).where(F.col("end") > first).drop("lo", "hi", "end")
-        elif first > 1:
-            at = at.withColumn("end", F.max("rank").over(W.partitionBy("sig"))).where(F.col("end") > first).drop("end")
-        at = staged(at, "jaccard-open")
-        lists = at.drop("label")
-        if not lists.limit(1).count():
-            break
-        pivots = at.where(F.col("rank").between(first, first + width - 1)).select("sig", F.col("cid").alias("p"), F.col("n").alias("pn"), F.col("rank").alias("prank"), F.col("label").alias("plabel"))
+    def near(at: DataFrame, pivots, one_each: bool = False) -> DataFrame:  # noqa: ANN001
+        """Pairs of a pivot and a later member of its list, not connected, of sizes and bitmaps that may link."""
+        one = at.where(pivots).select("sig", F.col("cid").alias("p"), F.col("n").alias("pn"), F.col("rank").alias("prank"), F.col("label").alias("plabel"))
         fit = (F.least("n", "pn").cast("long") * den >= F.greatest("n", "pn").cast("long") * num) & (F.col("rank") > F.col("prank")) & (F.col("label") != F.col("plabel"))
-        pairs = at.join(pivots, "sig").where(fit).select(F.col("p").alias("a"), F.col("cid").alias("b"), F.col("pn").alias("na"), F.col("n").alias("nb")).distinct()
-        pairs = staged(_near(pairs, bits, num, den), "jaccard-pairs")
-        first, width = first + width, width * 2
-        if not pairs.limit(1).count():
-            continue
-        needed = staged(pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct(), "jaccard-needed")
-        sets = staged(_sets(docs, k, seed, needed), "jaccard-sets")
-        found = staged(_verified(pairs, sets, num, den), "jaccard-links")
-        if found.limit(1).count():
-            links = found if links is None else links.unionByName(found)
-            labels = staged(components(links), "jaccard-labels")
+        pairs = at.join(one, "sig").where(fit).select(F.col("p").alias("a"), F.col("cid").alias("b"), F.col("pn").alias("na"), F.col("n").alias("nb"))
+        if one_each:
+            pairs = pairs.groupBy("b", "nb").agg(F.min(F.struct("a", "na")).alias("a")).select("a.a", "b", "a.na", "nb")
+        return staged(_near(pairs.distinct(), bits, num, den), "jaccard-pairs")
+
+    def compare(pairs: DataFrame) -> None:
+        # One partner for each class first, where there are many: near copies of one text are mostly connected by that.
+        n, classes = pairs.agg(F.count("*"), F.count_distinct("b")).first()
+        if n > 2 * classes:
+            state.compare(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+            pairs = state.apart(pairs)
+        state.compare(pairs)
+
+    state = _State(docs, rows, k, seed, num, den)
+    compare(near(lists.withColumn("label", F.col("cid")), F.col("rank") == 1, one_each=True))
+    at = state.still_open(lists, 1)
+    compare(near(at, (F.col("rank") == 1) | (F.col("members") <= SHORT)))
+    at = state.still_open(at.drop("label").where(F.col("members") > SHORT), 1)
+    if at.limit(1).count():
+        compare(_block_pairs(at, bits, num, den))
+    labels = state.labels
     return rows.select("doc_id", "h", "n", "cid"), labels
 
 
