@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -24,14 +25,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
-    It is ``spark.checkpoint.dir``; only where the session has none (tests on one machine) a temporary
-    folder is made and put into the session's configuration.
+    It is ``spark.checkpoint.dir``; only where the session has none (tests on one machine) it is a temporary
+    folder of this process.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="fathomline-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
+    return (spark.conf.get("spark.checkpoint.dir", None) or _own_dir()).rstrip("/")
+
+
+@functools.cache
+def _own_dir() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="fathomline-")
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
