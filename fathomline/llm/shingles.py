@@ -8,7 +8,7 @@ _M = np.uint64(0x9E3779B97F4A7C15 | 5)
 _K = np.uint64(0xD6E8FEB86659FD93)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19
 
 
 def mix(h: np.ndarray, seed: int = 0) -> np.ndarray:

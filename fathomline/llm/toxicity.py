@@ -33,6 +33,8 @@ from fathomline.llm.common import dicts, small_batches, text_or_empty
 TRAIN_ROWS = 20_000
 #: Learned lexicon entries at most.
 LEXICON_ENTRIES = 1_000
+#: Different tokens a task counts before it hands them on.
+HELD_TOKENS = 100_000
 
 # Common English insults that seed the lexicon, with their weights.
 SEED = {"clown": 2.0, "disgusting": 2.0, "idiot": 3.0, "loser": 2.5, "moron": 3.0, "pathetic": 2.0, "scum": 3.0, "stupid": 2.5, "trash": 2.0, "worthless": 2.5}
@@ -116,14 +118,21 @@ def learn_lexicon(rows: DataFrame, entries: int) -> dict[tuple[str, bool], float
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         toxic, other = Counter(), Counter()
+
+        def flush() -> pa.RecordBatch:
+            keys = [*toxic, *(k for k in other if k not in toxic)]
+            out = pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys]), pa.array([k[1] for k in keys], pa.bool_()), pa.array([toxic[k] for k in keys], pa.int64()), pa.array([other[k] for k in keys], pa.int64())], ["token", "stem", "toxic", "other"])
+            toxic.clear()
+            other.clear()
+            return out
+
         for b in dicts(batches):
             for text, y in zip(b["text"], b["toxic"], strict=True):
                 (toxic if y else other).update(tokens_of(text))
-        keys = list(toxic)  # what no toxic row of any task has is never an entry, but the counts meet over tasks
-        keys += [k for k in other if k not in toxic]
-        for i in range(0, len(keys), 50_000):
-            part = keys[i : i + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in part]), pa.array([k[1] for k in part], pa.bool_()), pa.array([toxic[k] for k in part], pa.int64()), pa.array([other[k] for k in part], pa.int64())], ["token", "stem", "toxic", "other"])
+                if len(toxic) + len(other) > HELD_TOKENS:  # the counts of several batches meet in the aggregation
+                    yield flush()
+        if toxic or other:
+            yield flush()
 
     totals = {bool(r["toxic"]): r["count"] for r in rows.groupBy("toxic").count().collect()}
     bad, good = totals.get(True, 0), totals.get(False, 0)
