@@ -296,14 +296,16 @@ def _block_pairs(at: DataFrame, bits: DataFrame, num: int, den: int) -> DataFram
     """Pairs of one list, not connected, that sizes and bitmaps do not refute, for long lists.
 
     A list is cut into blocks of BLOCK members and each two blocks meet once, as matrices of bitmaps; only what
-    passes becomes a row. A member is sent once for each block of its list."""
+    passes becomes a row, and that only in the first of the lists that a pair shares. A member is sent once for each
+    block of its list, with the names of its lists (no more than its prefix has shingles)."""
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     block = F.floor((F.col("rank") - 1) / BLOCK).cast("int")
-    rows = at.join(bits, "cid").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    rows = rows.select("sig", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cid", "n", "label", "bits")
+    mine = at.groupBy("cid").agg(F.collect_set("sig").alias("sigs"))
+    rows = at.join(bits, "cid").join(mine, "cid").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    rows = rows.select("sig", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cid", "n", "label", "bits", "sigs")
 
     def meet(held: list[tuple]) -> tuple[np.ndarray, np.ndarray] | None:
-        (_, i, j), groups = held[0][:3], {}
+        (sig, i, j), groups = held[0][:3], {}
         for r in held:
             groups.setdefault((r[3], len(r[7])), []).append(r)
         found = []
@@ -318,7 +320,9 @@ def _block_pairs(at: DataFrame, bits: DataFrame, num: int, den: int) -> DataFram
                 ok = (np.minimum(na, nb) * den >= np.maximum(na, nb) * num) & (la[:, None] != lb[None, :])
                 ok &= bits_apart_all(*words) <= na + nb - 2 * -(-num * (na + nb) // (num + den))
                 p, q = np.nonzero(ok)
-                p, q = ca[p], cb[q]
+                mine = [[frozenset(r[8]) for r in g] if len(p) else [] for g in (one, two)]
+                here = np.array([min(mine[0][u] & mine[1][v]) == sig for u, v in zip(p.tolist(), q.tolist(), strict=True)], bool)
+                p, q = ca[p[here]], cb[q[here]]
                 found.append((np.minimum(p, q), np.maximum(p, q)))
         if not found:
             return None
