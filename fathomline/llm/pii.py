@@ -50,18 +50,20 @@ HONORIFICS = {"Mr": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Herr": "m", "Frau"
 _GENDER = {name: (script, sex) for (script, sex), names in GIVEN.items() for name in names}
 _FAMILY = {name: script for script, names in FAMILY.items() for name in names}
 _CAP = r"[A-ZÀ-ÖØ-ÞА-ЯЁ][a-zß-öø-ÿа-яё'’-]+"
-_DIGIT_KINDS = re.compile(
+_TOKEN_PREFIX = r"gh[pousr]_|sk-|AKIA"
+_SECRET_WORD = r"[Pp]assword|PASSWORD|passwd|pwd|[Ss]ecret|SECRET|[Tt]oken|TOKEN|api_?key|API_?KEY"
+_KINDS = re.compile(
     r"(?P<email>(?<![\w.+-])[\w.+-]+@[\w-]+(?:\.[\w-]+)+)"
     r"|(?P<token>(?<![\w-])(?:gh[pousr]_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9]{20,}|AKIA[A-Z0-9]{16}|(?=[0-9a-fA-F]*[a-fA-F])(?=[0-9a-fA-F]*\d)[0-9a-fA-F]{32,64})(?![\w-]))"
-    r"|(?:(?:[Pp]assword|PASSWORD|passwd|pwd|[Ss]ecret|SECRET|[Tt]oken|TOKEN|api_?key|API_?KEY) ?[=:] ?[\"']?)(?P<secret>[^\s\"'<>,;]{6,128})"
+    r"|(?:(?:" + _SECRET_WORD + r") ?[=:] ?[\"']?)(?P<secret>[^\s\"'<>,;]{6,128})"
     r"|(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w))"
     r"|(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d))"
     r"|(?P<ssn>(?<![\d-])(?!000|666|9\d\d)\d{3}-(?!00)\d\d-(?!0000)\d{4}(?![\d-]))"
     r"|(?P<card>(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-]))"
     r"|(?P<phone>(?<![\w+])(?:(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}|\+\d{1,3}(?:[ .-]\d{2,8}){2,5}(?!\.\d)|\d{3}[ .-]\d{3}[ .-]\d{4})(?![\w-]))"
 )
-#: Cheap and never misses: where no digit with two more near it and no @ stands, no entity of the above kinds does.
-_CANDIDATE = re.compile(r"@|\d")
+#: Cheap and never misses: each of the above kinds has an @, a digit, the word before a secret or the prefix of a token.
+_CANDIDATE = re.compile(rf"@|\d|{_TOKEN_PREFIX}|{_SECRET_WORD}")
 _NAME = re.compile(rf"(?<!\w)(?:(?P<title>{'|'.join(HONORIFICS)}|Dr)\.? (?P<rest>{_CAP}(?: {_CAP}){{0,2}})|(?P<full>(?:{'|'.join(_GENDER)})(?: {_CAP})? (?:{'|'.join(_FAMILY)})))(?!\w)")
 _NAME_HINT = re.compile(rf"(?<!\w)(?:{'|'.join(HONORIFICS)}|Dr|{'|'.join(_GENDER)})(?!\w)")
 
@@ -148,7 +150,7 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
         number = int("".join(str(int(c, 36)) for c in body + plain[:2] + "00"))
         return _refill(value, plain[:2] + f"{98 - number % 97:02d}" + body, r"\S")
     if kind == "token":
-        prefix = re.match(r"gh[pousr]_|sk-|AKIA|", value)[0]
+        prefix = re.match(rf"{_TOKEN_PREFIX}|", value)[0]
         body, n, out = value[len(prefix) :], 0, []
         alphabet = "0123456789abcdef" if re.fullmatch(r"[0-9a-f]+", body) else "0123456789ABCDEF" if re.fullmatch(r"[0-9A-F]+", body) else ""
         for i, c in enumerate(body):
@@ -182,7 +184,7 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
     """Entities as (start, end, kind, value), in order, without overlaps; each name word is one of its own."""
     found = []
     if _CANDIDATE.search(text):
-        for m in _DIGIT_KINDS.finditer(text):
+        for m in _KINDS.finditer(text):
             kind = m.lastgroup
             value = m[kind]
             if kind == "card" and not 13 <= sum(c.isdigit() for c in value) <= 19:

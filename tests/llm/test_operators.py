@@ -105,6 +105,12 @@ def test_surrogates_stay_distinct(spark, monkeypatch):
     assert len({pii.permute(b"k", "x", i, 1000) for i in range(1000)}) == 1000
 
 
+def test_secrets_without_digits_are_found():
+    for text, value in (("password = swordfish", "swordfish"), ("token: abcdefgh", "abcdefgh"), ("AKIA" + "Q" * 16, "AKIA" + "Q" * 16), ("sk-" + "a" * 20, "sk-" + "a" * 20), ("ghp_" + "b" * 20, "ghp_" + "b" * 20)):
+        assert [x[2:] for x in pii.find(text)] == [("token", value)], text
+
+
+
 # -- 2
 
 
