@@ -55,7 +55,7 @@ _SECRET_WORD = r"[Pp]assword|PASSWORD|passwd|pwd|[Ss]ecret|SECRET|[Tt]oken|TOKEN
 _KINDS = re.compile(
     r"(?P<email>(?<![\w.+-])[\w.+-]+@[\w-]+(?:\.[\w-]+)+)"
     r"|(?P<token>(?<![\w-])(?:gh[pousr]_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9]{20,}|AKIA[A-Z0-9]{16}|(?=[0-9a-fA-F]*[a-fA-F])(?=[0-9a-fA-F]*\d)[0-9a-fA-F]{32,64})(?![\w-]))"
-    r"|(?:(?:" + _SECRET_WORD + r") ?[=:] ?[\"']?)(?P<secret>[^\s\"'<>,;]{6,128})"
+    r"|(?:(?:" + _SECRET_WORD + r") ?[=:] ?[\"']?)(?P<secret>[^\s\"'<>,;]{6,})"
     r"|(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w))"
     r"|(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d))"
     r"|(?P<ssn>(?<![\d-])(?!000|666|9\d\d)\d{3}-(?!00)\d\d-(?!0000)\d{4}(?![\d-]))"
@@ -153,9 +153,10 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
         prefix = re.match(rf"{_TOKEN_PREFIX}|", value)[0]
         body, n, out = value[len(prefix) :], 0, []
         alphabet = "0123456789abcdef" if re.fullmatch(r"[0-9a-f]+", body) else "0123456789ABCDEF" if re.fullmatch(r"[0-9A-F]+", body) else ""
+        seed = value if len(value) <= 128 else hashlib.sha256(value.encode("utf-8", "surrogatepass")).hexdigest()  # long values are hashed once
         for i, c in enumerate(body):
             if i % 32 == 0:
-                n = _mac(key, "token", value, i, attempt)
+                n = _mac(key, "token", seed, i, attempt)
             n, r = divmod(n, 256)
             if alphabet:
                 out.append(alphabet[r % 16])

@@ -110,6 +110,11 @@ def test_secrets_without_digits_are_found():
         assert [x[2:] for x in pii.find(text)] == [("token", value)], text
 
 
+def test_long_secrets_are_replaced_to_their_end():
+    value = "eyJ" + "aB3_" * 400 + ".SIGNATURE"
+    text, n, _ = pii.redact(b"k", f"token={value} end", {})
+    assert n == 1 and len(text) == len(f"token={value} end") and text.endswith(" end") and "SIGNATURE" not in text and "aB3_aB3_" not in text
+
 
 # -- 2
 
