@@ -10,18 +10,20 @@ one person.
 Distinctness: digits of telephone numbers, cards, addresses and so on go through a keyed permutation (a Feistel
 network with cycle walking over the format's own domain), which cannot collide. Name words and e-mail local parts
 are drawn by hash and can; distinct entities are therefore collected, surrogates that two entities share are
-found by an aggregation, and all but the first entity try again with the next attempt until none is shared. The
+found by an aggregation, and all but the first entity try again with the next attempt until none is shared. From the
+third attempt on surrogates grow with each, so any number of entities finds room. The
 few entities that needed another attempt form a table. Up to ``BROADCAST_ENTITIES`` of them it is
 sent to all tasks; beyond, each document is joined with the entries it needs.
 
 Edge cases: a null text stays null; empty texts and texts without entities stay as they are; repeated rows get
-equal results; an empty table gives no rows; other columns are kept as they are.
+equal results; a secret of one sign repeated is a mask and stays; an empty table gives no rows; other columns are kept as they are.
 """
 
 from __future__ import annotations
 
 import hashlib
 import hmac
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -32,7 +34,6 @@ from pyspark.sql import functions as F
 from fathomline.llm.common import dicts, small_batches, staged
 
 BROADCAST_ENTITIES = 100_000
-ROUNDS = 12
 
 # Given names by script and gender, family names by script, honorifics.
 GIVEN = {
@@ -64,6 +65,10 @@ _KINDS = re.compile(
 )
 #: Cheap and never misses: each of the above kinds has an @, a digit, the word before a secret or the prefix of a token.
 _CANDIDATE = re.compile(rf"@|\d|{_TOKEN_PREFIX}|{_SECRET_WORD}")
+#: One sign again and again stands for a secret that is not there.
+_MASK = re.compile(r"([^\w])\1+|_+")
+#: A secret of signs only becomes one of these.
+SIGNS = "!#$%&*+-./:=?@^~"
 _NAME = re.compile(rf"(?<!\w)(?:(?P<title>{'|'.join(HONORIFICS)}|Dr)\.? (?P<rest>{_CAP}(?: {_CAP}){{0,2}})|(?P<full>(?:{'|'.join(_GENDER)})(?: {_CAP})? (?:{'|'.join(_FAMILY)})))(?!\w)")
 _NAME_HINT = re.compile(rf"(?<!\w)(?:{'|'.join(HONORIFICS)}|Dr|{'|'.join(_GENDER)})(?!\w)")
 
@@ -110,10 +115,11 @@ def canonical(kind: str, value: str) -> str:
 
 def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
     """The replacement of an entity in the writing of ``value``; never the entity itself."""
+    more = max(0, attempt - 2)  # from the third attempt on a surrogate grows with each, so there is always room
     if kind == "email":
         local, _, domain = value.lower().partition("@")
         n = _mac(key, "email", local, domain, attempt)
-        name = GIVEN["latin", "fm"[n % 2]][(n >> 8) % 32].lower() + "." + FAMILY["latin"][(n >> 16) % len(FAMILY["latin"])].lower() + f"{(n >> 32) % 10**6:06d}"
+        name = GIVEN["latin", "fm"[n % 2]][(n >> 8) % 32].lower() + "." + FAMILY["latin"][(n >> 16) % len(FAMILY["latin"])].lower() + f"{(n >> 32) % 10 ** (6 + more):0{6 + more}d}"
         host = _mac(key, "domain", domain) % 10**8  # one surrogate domain for each domain
         out = f"{name}@d{host:08d}.example.{domain.rsplit('.', 1)[-1] if domain.rsplit('.', 1)[-1] in ('com', 'net', 'org') else 'org'}"
         return out.upper() if value.isupper() else out
@@ -151,8 +157,10 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
         return _refill(value, plain[:2] + f"{98 - number % 97:02d}" + body, r"\S")
     if kind == "token":
         prefix = re.match(rf"{_TOKEN_PREFIX}|", value)[0]
-        body, n, out = value[len(prefix) :], 0, []
-        alphabet = "0123456789abcdef" if re.fullmatch(r"[0-9a-f]+", body) else "0123456789ABCDEF" if re.fullmatch(r"[0-9A-F]+", body) else ""
+        if not any(map(str.isalnum, value[len(prefix) :])):
+            prefix = ""
+        body, n, out = value[len(prefix) :] + "a" * more, 0, []
+        alphabet = "0123456789abcdef" if re.fullmatch(r"[0-9a-f]+", body) else "0123456789ABCDEF" if re.fullmatch(r"[0-9A-F]+", body) else "" if any(map(str.isalnum, body)) else SIGNS
         seed = value if len(value) <= 128 else hashlib.sha256(value.encode("utf-8", "surrogatepass")).hexdigest()  # long values are hashed once
         for i, c in enumerate(body):
             if i % 32 == 0:
@@ -167,14 +175,15 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
 
 
 def name_word(key: bytes, kind: str, word: str, attempt: int = 0) -> str:
-    """``kind``: given:SCRIPT:GENDER or family:SCRIPT. From the list; with attempts, two names joined by a hyphen."""
+    """``kind``: given:SCRIPT:GENDER or family:SCRIPT. From the list; else two names joined by a hyphen, from the third attempt on one more with each."""
     what, script, *sex = kind.split(":")
     names = GIVEN[script, sex[0]] if what == "given" else FAMILY[script]
     if attempt == 0 and word in names:  # a permutation within the list
         i = permute(key, kind, names.index(word), len(names))
         return names[i] if names[i] != word else names[(i + 1) % len(names)]
-    n = _mac(key, kind, word, attempt)
-    return f"{names[n % len(names)]}-{names[(n >> 16) % len(names)]}" + (f"-{names[(n >> 32) % len(names)]}" if attempt > 2 else "")
+    parts = 2 if attempt < 3 else attempt
+    drawn = (_mac(key, kind, word, attempt, *([i] if i else [])) >> 16 * j for i in range(-(-parts // 15)) for j in range(15))
+    return "-".join(names[n % len(names)] for n, _ in zip(drawn, range(parts)))
 
 
 def _script(word: str) -> str:
@@ -192,6 +201,8 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
                 continue
             if kind == "phone" and not (7 <= sum(c.isdigit() for c in value) <= 15):
                 continue
+            if kind == "secret" and _MASK.fullmatch(value):
+                continue
             if kind == "email":
                 value = value.rstrip(".-")
             at = m.start(kind)
@@ -258,7 +269,7 @@ def collisions(found: DataFrame, key: bytes) -> DataFrame | None:
         return pd.Series([name_word(key, k, v, n) if ":" in k else surrogate(key, k, v, n) for k, v, n in zip(kind, value, attempt, strict=True)])
 
     now = found.withColumn("attempt", F.lit(0))
-    for step in range(ROUNDS):
+    for step in itertools.count():  # surrogates grow with the attempt, so this ends
         made = staged(now.withColumn("made", make("kind", "value", "attempt")).withColumn("space", F.substring_index("kind", ":", 1)), "pii-round")
         # The least entity of each surrogate keeps it, those that moved earlier after those that have not.
         first = made.groupBy("space", "made").agg(F.min(F.struct("attempt", "kind", "value")).alias("first"), F.count("*").alias("n"))
@@ -272,7 +283,6 @@ def collisions(found: DataFrame, key: bytes) -> DataFrame | None:
             out = moved.where("attempt > 0").select("kind", "value", "attempt")
             return out if step else None
         now = moved.drop("lost")
-    raise RuntimeError(f"surrogates still collide after {ROUNDS} rounds; the name lists are too short for these data")
 
 
 def surrogates(docs: DataFrame, key: str) -> DataFrame:

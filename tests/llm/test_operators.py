@@ -116,6 +116,23 @@ def test_long_secrets_are_replaced_to_their_end():
     assert n == 1 and len(text) == len(f"token={value} end") and text.endswith(" end") and "SIGNATURE" not in text and "aB3_aB3_" not in text
 
 
+def test_surrogates_stay_distinct_beyond_the_lists(spark):
+    letters = [chr(ord("а") + i) for i in range(17)]
+    names = [f"Щ{a}{b}{c}" for a in letters for b in letters for c in letters][:4500]  # more than two or three listed names make
+    df = spark.createDataFrame([(i, f"Dr {n} was here") for i, n in enumerate(names)], "doc_id long, text string")
+    out = [r.text for r in pii.surrogates(df, "k").collect()]
+    assert len(set(out)) == len(names) and not set(out) & {r.text for r in df.collect()}
+
+
+def test_masks_and_secrets_of_few_signs(spark):
+    texts = ["password: ******** 1", "password: a***** 1", "password: b***** 1", "password: !?!?!? 1", "password=sk-*** 1"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = [r.text for r in pii.surrogates(df, "k").orderBy("doc_id").collect()]
+    assert out[0] == texts[0] and all(a != b for a, b in zip(out[1:], texts[1:], strict=True)) and len(set(out)) == len(texts)
+    small = {pii.surrogate(b"k", "token", "a*****", n) for n in range(3, 40)}
+    assert len(small) == 37 and all(len(pii.name_word(b"k", "family:latin", "Qo", n).split("-")) == max(2, n) for n in (0, 2, 3, 16, 40))
+
+
 # -- 2
 
 
