@@ -61,10 +61,14 @@ _KINDS = re.compile(
     r"|(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d))"
     r"|(?P<ssn>(?<![\d-])(?!000|666|9\d\d)\d{3}-(?!00)\d\d-(?!0000)\d{4}(?![\d-]))"
     r"|(?P<card>(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-]))"
-    r"|(?P<phone>(?<![\w+])(?:(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}|\+\d{1,3}(?:[ .-]\d{2,8}){2,5}(?!\.\d)|\d{3}[ .-]\d{3}[ .-]\d{4})(?![\w-]))"
+    r"|(?P<phone>(?<![\w+])(?:(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}|\+\d{1,3}(?:[ .-]\d{2,8}){2,5}(?!\.\d)|\+[1-9]\d{7,14}(?!\.\d)|\d{3}[ .-]\d{3}[ .-]\d{4}"
+    # With the trunk 0: groups with one kind of separator, 9 to 12 digits, not a date.
+    r"|(?<!\d[ ./-])(?!\d\d(?P<dot>[ ./-])\d\d(?P=dot)(?:19|20)\d\d(?!\d))(?=(?:[ ./-]?\d){9,12}(?![ ./-]?\d))0[1-9]\d{0,3}(?P<gap>[ ./-])\d{2,8}(?:(?P=gap)\d{2,8}){0,4})(?![\w-]))"
 )
 #: Cheap and never misses: each of the above kinds has an @, a digit, the word before a secret or the prefix of a token.
 _CANDIDATE = re.compile(rf"@|\d|{_TOKEN_PREFIX}|{_SECRET_WORD}")
+#: Country codes of one, two and three digits.
+_COUNTRY = re.compile(r"\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{1,3})")
 #: One sign again and again stands for a secret that is not there.
 _MASK = re.compile(r"([^\w])\1+|_+")
 #: A secret of signs only becomes one of these.
@@ -110,7 +114,7 @@ def canonical(kind: str, value: str) -> str:
     """What makes two writings one entity."""
     if kind == "email":
         return value.lower()
-    return re.sub(r"[ ().-]", "", value) if kind in ("phone", "card", "iban", "ssn") else value
+    return re.sub(r"[ ()./-]", "", value) if kind in ("phone", "card", "iban", "ssn") else value
 
 
 def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
@@ -130,9 +134,14 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
         check = luhn(new)
         return _refill(value, new + str(check if valid else (check + 1 + (int(digits[-1]) - luhn(digits[:-1]) - 1) % 10 % 9) % 10), r"\d")
     if kind == "phone":
-        country = re.match(r"\+\d{1,3}(?=[ .(-])", value)
-        rest = value[country.end() :] if country else value
-        return (country[0] if country else "") + _refill(rest, _digits(key, f"phone{country[0] if country else ''}", re.sub(r"\D", "", rest)), r"\d")
+        country = _COUNTRY.match(value)
+        kept = country[0] if country else "0" if value.lstrip("(").startswith("0") else ""  # country codes and trunk zeros stay
+        digits = re.sub(r"\D", "", value)
+        new = rest = digits[len(kept.lstrip("+")) :]
+        while True:  # cycle walking: a zero follows only where one did, so numbers with and without a trunk zero cannot meet
+            new = _digits(key, f"phone{kept}", new)
+            if new.startswith("0") == rest.startswith("0"):
+                return _refill(value, kept.lstrip("+") + new, r"\d")
     if kind == "ssn":
         return _refill(value, _digits(key, "ssn", re.sub(r"\D", "", value)), r"\d")
     if kind == "ip":

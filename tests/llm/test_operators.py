@@ -133,6 +133,16 @@ def test_masks_and_secrets_of_few_signs(spark):
     assert len(small) == 37 and all(len(pii.name_word(b"k", "family:latin", "Qo", n).split("-")) == max(2, n) for n in (0, 2, 3, 16, 40))
 
 
+def test_phones_without_separators_and_with_trunk_zero():
+    for phone in ("+15553239830", "+442079460958", "06 12 34 56 78", "030 1234567", "020 7946 0958", "0171/1234567"):
+        text, n, _ = pii.redact(b"k", f"call {phone}.", {})
+        assert n == 1 and phone not in text and re.sub(r"\d", "0", text) == re.sub(r"\d", "0", f"call {phone}.") and text[5:7] in ("+1", "+4", "01", "02", "03", "04", "05", "06", "07", "08", "09")
+    digits = [re.sub(r"\D", "", pii.surrogate(b"k", "phone", p)) for p in ("+1 555-323-9830", "+15553239830", "+1 (555) 323-9830")]
+    assert len(set(digits)) == 1  # one entity in three writings
+    for other in ("01.02.2020 12:30", "01-02-2020", "09 12 2019 10", "0-306-40615-2", "+10000000.50", "2021-03-04 05.06.07"):
+        assert not pii.find(other), other
+
+
 # -- 2
 
 
