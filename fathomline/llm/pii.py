@@ -61,12 +61,13 @@ _KINDS = re.compile(
     r"|(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d))"
     r"|(?P<ssn>(?<![\d-])(?!000|666|9\d\d)\d{3}-(?!00)\d\d-(?!0000)\d{4}(?![\d-]))"
     r"|(?P<card>(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-]))"
-    r"|(?P<phone>(?<![\w+])(?:(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}|\+\d{1,3}(?:[ .-]\d{2,8}){2,5}(?!\.\d)|\+[1-9]\d{7,14}(?!\.\d)|\d{3}[ .-]\d{3}[ .-]\d{4}"
+    r"|(?P<phone>(?=[+(\d])(?<![\w+])(?:(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}|\+\d{1,3}(?:[ .-]\d{2,8}){2,5}(?!\.\d)|\+[1-9]\d{7,14}(?!\.\d)|\d{3}[ .-]\d{3}[ .-]\d{4}"
     # With the trunk 0: groups with one kind of separator, 9 to 12 digits, not a date.
-    r"|(?<!\d[ ./-])(?!\d\d(?P<dot>[ ./-])\d\d(?P=dot)(?:19|20)\d\d(?!\d))(?=(?:[ ./-]?\d){9,12}(?![ ./-]?\d))0[1-9]\d{0,3}(?P<gap>[ ./-])\d{2,8}(?:(?P=gap)\d{2,8}){0,4})(?![\w-]))"
+    r"|(?=0[1-9])(?<!\d[ ./-])(?!\d\d(?P<dot>[ ./-])\d\d(?P=dot)(?:19|20)\d\d(?!\d))(?=(?:[ ./-]?\d){9,12}(?![ ./-]?\d))0[1-9]\d{0,3}(?P<gap>[ ./-])\d{2,8}(?:(?P=gap)\d{2,8}){0,4})(?![\w-]))"
 )
 #: Cheap and never misses: each of the above kinds has an @, a digit, the word before a secret or the prefix of a token.
-_CANDIDATE = re.compile(rf"@|\d|{_TOKEN_PREFIX}|{_SECRET_WORD}")
+_CANDIDATE = re.compile(r"[@\d]")
+_WORDS = ("assword", "PASSWORD", "passwd", "pwd", "ecret", "SECRET", "oken", "TOKEN", "api_key", "apikey", "API_KEY", "APIKEY", "sk-", "AKIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_")
 #: Country codes of one, two and three digits.
 _COUNTRY = re.compile(r"\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{1,3})")
 #: One sign again and again stands for a secret that is not there.
@@ -202,7 +203,7 @@ def _script(word: str) -> str:
 def find(text: str) -> list[tuple[int, int, str, str]]:
     """Entities as (start, end, kind, value), in order, without overlaps; each name word is one of its own."""
     found = []
-    if _CANDIDATE.search(text):
+    if _CANDIDATE.search(text) or any(w in text for w in _WORDS):
         for m in _KINDS.finditer(text):
             kind = m.lastgroup
             value = m[kind]
