@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
+import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,8 +16,9 @@ from pyspark.sql import functions as F
 #: A word: anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Rows handed to a Python worker at once; whole texts can be long, so batches stay short.
+#: Rows and bytes handed to a Python worker at once, whichever comes first; a single text is never cut.
 BATCH_ROWS = 512
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,7 +48,29 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of this session; its queries run lazily, so the bound stays."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+def lean(run: Callable) -> Callable:
+    """``run``, a generator over Arrow batches, whose worker gives its memory back to the system when a task ends: workers are reused."""
+
+    @functools.wraps(run)
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return wrapped
+
+
+def give_back() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
 
 
 def text_or_empty(name: str = "text") -> Column:

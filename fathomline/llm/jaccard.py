@@ -11,14 +11,19 @@ shingles lie among its first n - o + c.
   cost: subsets to write for all sets up to it against prefix shingles and the list entries they meet,
   from the histogram of set sizes over the whole table.
 
-First each class is compared with the first member of one of its lists, which connects most near copies of one
-text. What is connected by then is not compared again, and lists whose members are all connected are dropped.
-Lists of at most SHORT classes are then scanned whole; longer ones by blocks of their members, two at a
-time, where only pairs that pass the tests become rows. Where a round has many pairs, one for each class comes first. Pairs pass a size test and a parity-bitmap test
-(the bitmaps differ in no more bits than the sets do in members) before the sets themselves are compared. The sets
-are computed again from the texts for the classes that need them, found through a bitmap of bounded size and a
-join; hash joins on skewed keys are left to be split at run time. Nothing is dropped: each pair with a common
-signature is connected, refuted or compared.
+Lists are counted by an aggregation and met by a join, both of which take hot keys apart; no list is sorted or numbered
+in one task. First each class is compared with the least member of one of its lists, which connects most near
+copies of one text. What is connected by then is not compared again, and lists whose members are all connected are
+dropped. Lists of at most SHORT classes are then met pair by pair; longer ones by blocks: the members of a list that
+are not in its largest component are the few, and only blocks of these meet other blocks, as matrices of
+bitmaps. In up to LINK_ROUNDS rounds each member names the one best partner it has in another component, so rows grow with the
+members, not with their pairs; those are compared and the components merged. In the end what is left unrefuted
+between components is named whole, each pair in the first list that its members are seen to share. Pairs pass a size test and a
+parity-bitmap test (the bitmaps differ in no more bits than the sets do in members) before the sets themselves
+are compared. The sets are computed again from the texts for the classes that need them, found through a bitmap of bounded
+size and a join. Nothing is dropped: each pair with a common signature is connected, refuted or compared.
+
+A class is named by 64 bits of its set; where a second hash shows that two sets have one name, these are named by both.
 
 Edge cases: null or empty texts and texts without words have the empty set and link with nothing; texts of
 fewer words than a shingle have one shingle, the whole sequence; repeated rows share a class; documents with a
@@ -35,10 +40,9 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fathomline.llm.common import small_batches, staged, text_or_empty
+from fathomline.llm.common import lean, small_batches, staged, text_or_empty
 from fathomline.llm.components import components
 from fathomline.llm.shingles import mix, shingle_sets
 
@@ -47,29 +51,40 @@ SUBSET = 2
 FREQUENT = 1 << 18
 FREQUENT_COUNT = 16
 LOCAL_COUNT = 2
-#: Lists of at most so many classes are scanned at once, all pairs; longer ones by blocks.
+#: Lists of at most so many classes are met pair by pair; longer ones by blocks of about so many members or bytes.
 SHORT = 16
 BLOCK = 1024
+BLOCK_BYTES = 8 << 20
+#: Rounds in which members of long lists name their best partner, before what is left is named whole.
+LINK_ROUNDS = 3
+#: Of a member, so many of its lists are known to the tasks of its blocks.
+NAMED = 4
 #: Bits of the bitmap that tells which classes need their sets.
 FILTER_BITS = 1 << 24
 #: Up to so many classes, their text hashes are sent to all tasks instead.
 FEW = 20_000
-_HELD = 4_000_000
+#: Shingles that a task counts at once, and distinct ones it keeps counts of.
+_HELD = 1_000_000
 
 
 def ceil_div(a: int, b: int) -> int:
     return -(-a // b)
 
 
-def bitmap(shingles: np.ndarray) -> bytes:
-    """Parities of the counts of shingles by hash, in the next power of two of 2 n bits, 64 at least."""
-    bits = 64
-    while bits < 2 * len(shingles):
+def bitmap(shingles: np.ndarray, wide: int = 2, least: int = 64) -> bytes:
+    """Parities of the counts of shingles by hash, in the next power of two of ``wide`` n bits, ``least`` at least."""
+    bits = least
+    while bits < wide * len(shingles):
         bits *= 2
     odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
+def fine_bitmap(shingles: np.ndarray) -> bytes:
+    """16 bits for each shingle as far as that stays below a kilobyte, then 2: near copies of usual length seldom pass by chance."""
+    return bitmap(shingles, 16 if len(shingles) <= 512 else 2, 64 if len(shingles) <= 512 else 8192)
+
+
 def bits_apart(a: bytes, b: bytes) -> int:
     """In how many bits two bitmaps differ; the longer is folded, which never adds differences."""
     if len(a) < len(b):
@@ -143,7 +158,18 @@ def _set_key(s: np.ndarray) -> tuple[int, int]:
     return int(mix(s, 3).sum(dtype=np.uint64).astype(np.int64)), int(np.bitwise_xor.reduce(mix(s, 4)).astype(np.int64))
 
 
-def profile(docs: DataFrame, k: int, seed: int) -> DataFrame:
+def _renamed(cid: int, check: int) -> int:
+    both = np.array([cid, check], np.int64).view(np.uint64)
+    return int(mix(mix(both[:1], 5) + both[1:], 6).astype(np.int64)[0])
+
+
+def _name(s: np.ndarray, shared: frozenset[int]) -> int:
+    """The class of a set; ``shared``: names that two sets have, so that the second hash takes part."""
+    cid, check = _set_key(s)
+    return _renamed(cid, check) if cid in shared else cid
+
+
+def profile(docs: DataFrame, k: int, shared: frozenset[int] = frozenset()) -> DataFrame:
     """One row per document (kind 0: doc_id, row hash, n, class, check, bitmap), and per task its frequent shingles
     (kind 1: class = shingle, n = documents, counted lossily) and totals (kind 2: n shingles, class distinct ones)."""
     names = ["kind", "doc_id", "h", "n", "cid", "check", "bits"]
@@ -164,7 +190,7 @@ def profile(docs: DataFrame, k: int, seed: int) -> DataFrame:
                 known, counts = both, np.bincount(inverse, np.concatenate([counts, n]), len(both)).astype(np.int64)
             else:
                 known, counts = u, n
-            if len(known) > _HELD // 8:
+            if len(known) > _HELD // 2:
                 keep = counts >= LOCAL_COUNT
                 known, counts = known[keep], counts[keep]
             held, size = [], 0
@@ -172,8 +198,8 @@ def profile(docs: DataFrame, k: int, seed: int) -> DataFrame:
         for b in batches:
             if not b.num_rows:
                 continue
-            sets = shingle_sets(_texts(b), k, seed)
-            keys = [_set_key(s) if len(s) else (None, None) for s in sets]
+            sets = shingle_sets(_texts(b), k)
+            keys = [(_name(s, shared), _set_key(s)[1]) if len(s) else (None, None) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([0] * len(sets), kinds[0]), b.column(0), b.column(1), pa.array([len(s) for s in sets], kinds[3]), pa.array([c for c, _ in keys], kinds[4]), pa.array([c for _, c in keys], kinds[5]), pa.array([bitmap(s) if len(s) else None for s in sets], kinds[6])], names
             )
@@ -194,7 +220,7 @@ def profile(docs: DataFrame, k: int, seed: int) -> DataFrame:
 
     schema = "kind int, doc_id long, h long, n long, cid long, check long, bits binary"
     text = text_or_empty()
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text")).mapInArrow(lean(run), schema)
 
 
 class Order:
@@ -216,26 +242,25 @@ class Order:
         return np.concatenate([s[~last], tail[np.lexsort((tail, self.counts[at[last]]))]])
 
 
-def _signatures(docs: DataFrame, k: int, seed: int, order: Order, scheme: Scheme) -> DataFrame:
+def _signatures(docs: DataFrame, k: int, shared: frozenset[int], order: Order, scheme: Scheme) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for b in batches:
-            sigs, cids, ns = [], [], []
-            for s in shingle_sets(_texts(b), k, seed) if b.num_rows else []:
-                if not len(s) or (cid := _set_key(s)[0]) in seen:
+            sigs, cids = [], []
+            for s in shingle_sets(_texts(b), k) if b.num_rows else []:
+                if not len(s) or (cid := _name(s, shared)) in seen:
                     continue  # of equal sets in a task, one writes
                 seen.add(cid)
                 sig = scheme.signatures(order.sort(s))
                 sigs.append(sig)
                 cids.append(np.full(len(sig), cid, np.int64))
-                ns.append(np.full(len(sig), len(s), np.int32))
             if sigs:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).astype(np.int64)), pa.array(np.concatenate(cids)), pa.array(np.concatenate(ns))], ["sig", "cid", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).astype(np.int64)), pa.array(np.concatenate(cids))], ["sig", "cid"])
 
-    return docs.select(text_or_empty().alias("text")).mapInArrow(run, "sig long, cid long, n int")
+    return docs.select(text_or_empty().alias("text")).mapInArrow(lean(run), "sig long, cid long")
 
 
-def _sets(docs: DataFrame, k: int, seed: int, needed: DataFrame, rows: DataFrame) -> DataFrame:
+def _sets(docs: DataFrame, k: int, shared: frozenset[int], needed: DataFrame, rows: DataFrame) -> DataFrame:
     """(cid, set) of the classes in ``needed``, one row each, from one pass over the texts.
 
     A few classes are found by the hash of a text of theirs, so that only those texts leave the scan. Many are found
@@ -245,8 +270,8 @@ def _sets(docs: DataFrame, k: int, seed: int, needed: DataFrame, rows: DataFrame
         seen: set[int] = set()
         for b in batches:
             cids, sets = [], []
-            for s in shingle_sets(_texts(b), k, seed) if b.num_rows else []:
-                if not len(s) or (cid := _set_key(s)[0]) in seen:
+            for s in shingle_sets(_texts(b), k) if b.num_rows else []:
+                if not len(s) or (cid := _name(s, shared)) in seen:
                     continue
                 at = cid % FILTER_BITS
                 if flags is None or flags[at >> 3] >> (at & 7) & 1:
@@ -266,11 +291,22 @@ def _sets(docs: DataFrame, k: int, seed: int, needed: DataFrame, rows: DataFrame
         flags = np.zeros(FILTER_BITS // 8 + 4096, np.uint8)  # FILTER_BITS bits, whatever the number of classes
         for r in parts:
             flags[(r["bucket"] - 1) * 4096 :][:4096] = np.frombuffer(r["bits"], np.uint8)
-    return texts.mapInArrow(run, "cid long, members binary").join(needed, "cid", "left_semi").dropDuplicates(["cid"])
+    return texts.mapInArrow(lean(run), "cid long, members binary").join(needed, "cid", "left_semi").dropDuplicates(["cid"])
+
+
+def _fine(sets: DataFrame) -> DataFrame:
+    """(cid, n, bits): fine bitmaps of sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            each = [np.frombuffer(x.as_buffer(), np.uint64) for x in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in each], pa.int64()), pa.array([fine_bitmap(s) for s in each], pa.binary())], ["cid", "n", "bits"])
+
+    return sets.select("cid", "members").mapInArrow(lean(run), "cid long, n long, bits binary")
 
 
 def _near(pairs: DataFrame, bits: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs whose bitmaps do not refute them."""
+    """Pairs whose sizes and bitmaps do not refute them."""
 
     @F.pandas_udf("boolean")
     def may(a, b, na, nb):  # noqa: ANN001
@@ -278,9 +314,10 @@ def _near(pairs: DataFrame, bits: DataFrame, num: int, den: int) -> DataFrame:
 
         return pd.Series([bits_apart(x, y) <= most_apart(m, n, num, den) for x, y, m, n in zip(a, b, na.tolist(), nb.tolist(), strict=True)], dtype=bool)
 
-    one = bits.select(F.col("cid").alias("a"), F.col("bits").alias("bits_a"))
-    two = bits.select(F.col("cid").alias("b"), F.col("bits").alias("bits_b"))
-    return pairs.join(one, "a").join(two, "b").where(may("bits_a", "bits_b", "na", "nb")).select("a", "b")
+    one = bits.select(F.col("cid").alias("a"), F.col("bits").alias("bits_a"), F.col("n").alias("na"))
+    two = bits.select(F.col("cid").alias("b"), F.col("bits").alias("bits_b"), F.col("n").alias("nb"))
+    sizes = F.least("na", "nb") * den >= F.greatest("na", "nb") * num
+    return pairs.join(one, "a").join(two, "b").where(sizes).where(may("bits_a", "bits_b", "na", "nb")).select("a", "b")
 
 
 def bits_apart_all(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -292,53 +329,83 @@ def bits_apart_all(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.stack([np.bitwise_count(row ^ b).sum(1, dtype=np.int64) for row in a]) if len(a) else np.empty((0, len(b)), np.int64)
 
 
-def _block_pairs(at: DataFrame, bits: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of one list, not connected, that sizes and bitmaps do not refute, for long lists.
-
-    A list is cut into blocks of BLOCK members and each two blocks meet once, as matrices of bitmaps; only what
-    passes becomes a row. A member is sent once for each block of its list."""
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    block = F.floor((F.col("rank") - 1) / BLOCK).cast("int")
-    rows = at.join(bits, "cid").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    rows = rows.select("sig", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cid", "n", "label", "bits")
-
-    def meet(held: list[tuple]) -> tuple[np.ndarray, np.ndarray] | None:
-        (_, i, j), groups = held[0][:3], {}
-        for r in held:
-            groups.setdefault((r[3], len(r[7])), []).append(r)
-        found = []
-        for (x, wx), one in groups.items():
-            for (y, wy), two in groups.items():
+def _meetings(at: DataFrame, fine: DataFrame) -> DataFrame:
+    """One row per member of a list and two blocks that meet there, the member in one of them.
+
+    Members of the largest component of a list have blocks of their own, which meet only those of the others. Blocks
+    are drawn by hash; their number comes from counts and sizes, so no list is sorted or numbered anywhere."""
+    sizes = at.join(fine.select("cid", "n"), "cid").groupBy("sig", "label").agg(F.count("*").alias("c"), F.sum("n").alias("n"))
+    whole = sizes.groupBy("sig").agg(F.max_by("label", "c").alias("major"), F.sum("c").alias("c"), F.sum("n").alias("n"), F.max("c").alias("mc"), F.max_by("n", "c").alias("mn"))
+    cut = lambda c, n: F.greatest(F.ceil(c / BLOCK), F.ceil(2 * n / BLOCK_BYTES)).cast("int")
+    whole = whole.select("sig", "major", cut(F.col("c") - F.col("mc"), F.col("n") - F.col("mn")).alias("few"), cut(F.col("mc"), F.col("mn")).alias("many"))
+    rows = at.join(whole, "sig").join(fine, "cid")
+    draw = F.xxhash64("cid", F.lit(11))
+    block = F.when(F.col("label") == F.col("major"), F.col("few") + F.pmod(draw, F.col("many"))).otherwise(F.pmod(draw, F.col("few"))).cast("int")
+    rows = rows.withColumn("block", block)
+    meets = F.when(F.col("block") >= F.col("few"), F.col("few")).otherwise(F.col("few") + F.col("many"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), meets - 1)))
+    return rows.select("sig", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cid", "n", "label", "bits", "names")
+
+
+def _of_blocks(at: DataFrame, fine: DataFrame, num: int, den: int, whole: bool) -> DataFrame:
+    """Pairs (a, b) of one list, in different components, that sizes and bitmaps do not refute.
+
+    ``whole``: all of them, each in the first list that its members are seen to share. Otherwise each member's best, the one with most
+    bits to spare, so at most one row for each member of a block and then for each member."""
+    kinds = [("cid", pa.int64()), ("other", pa.int64()), ("spare", pa.int64())]
+
+    def meet(sig: int, i: int, j: int, held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        groups: dict[tuple[int, int], list[tuple]] = {}
+        for block, cid, n, label, bits, names in held:
+            groups.setdefault((block, len(bits)), []).append((cid, n, label, bits, names))
+        parts = {}
+        for key, g in groups.items():
+            named = np.full((len(g), NAMED), sig, np.int64)
+            for r, x in enumerate(g):
+                named[r, : len(x[4])] = x[4]
+            parts[key] = (*(np.array([x[c] for x in g], np.int64) for c in (0, 1, 2)), np.frombuffer(b"".join(x[3] for x in g), np.uint64).reshape(len(g), -1), named)
+        for (x, wx), (ca, na, la, ba, sa) in parts.items():
+            for (y, wy), (cb, nb, lb, bb, sb) in parts.items():
                 if x != i or y != j or (i == j and wx > wy):
                     continue
-                cols = [[np.array([r[c] for r in g], np.int64) for c in (4, 5, 6)] for g in (one, two)]
-                (ca, na, la), (cb, nb, lb) = cols
-                words = [np.frombuffer(b"".join(r[7] for r in g), np.uint64).reshape(len(g), -1) for g in (one, two)]
-                na, nb = na[:, None], nb[None, :]
-                ok = (np.minimum(na, nb) * den >= np.maximum(na, nb) * num) & (la[:, None] != lb[None, :])
-                ok &= bits_apart_all(*words) <= na + nb - 2 * -(-num * (na + nb) // (num + den))
-                p, q = np.nonzero(ok)
-                p, q = ca[p], cb[q]
-                found.append((np.minimum(p, q), np.maximum(p, q)))
-        if not found:
-            return None
-        a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-        pairs = np.unique(np.stack([a, b])[:, a != b], axis=1)
-        return (pairs[0], pairs[1]) if pairs.shape[1] else None
+                na2, nb2 = na[:, None], nb[None, :]
+                ok = (np.minimum(na2, nb2) * den >= np.maximum(na2, nb2) * num) & (la[:, None] != lb[None, :])
+                if not ok.any():
+                    continue
+                spare = na2 + nb2 - 2 * -(-num * (na2 + nb2) // (num + den)) - bits_apart_all(ba, bb)
+                ok &= spare >= 0
+                if whole:
+                    for c in range(NAMED):
+                        for d in range(NAMED):
+                            ok &= ~((sa[:, c, None] == sb[None, :, d]) & (sa[:, c, None] < sig))
+                    p, q = np.nonzero(ok)
+                    if len(p):
+                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ca[p], cb[q])), pa.array(np.maximum(ca[p], cb[q])), pa.array(spare[p, q])], [k for k, _ in kinds])
+                    continue
+                spare = np.where(ok, spare, -1)
+                for best, own, others in ((spare.argmax(1), ca, cb), (spare.argmax(0), cb, ca)):
+                    left = spare[np.arange(len(own)), best] if own is ca else spare[best, np.arange(len(own))]
+                    has = np.flatnonzero(left >= 0)
+                    if len(has):
+                        yield pa.RecordBatch.from_arrays([pa.array(own[has]), pa.array(others[best[has]]), pa.array(left[has])], [k for k, _ in kinds])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        done = lambda: [pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["a", "b"])] if held and (found := meet(held)) else []
+        now, held = None, []
         for b in batches:
             for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if held and r[:3] != held[0][:3]:
-                    yield from done()
-                    held = []
-                held.append(r)
-        yield from done()
+                if now != r[:3]:
+                    if held:
+                        yield from meet(*now, held)
+                    now, held = r[:3], []
+                held.append(r[3:])
+        if held:
+            yield from meet(*now, held)
 
-    rows = rows.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
-    return staged(rows.mapInArrow(run, "a long, b long").distinct(), "jaccard-pairs")
+    rows = _meetings(at, fine).repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
+    found = rows.mapInArrow(lean(run), "cid long, other long, spare long")
+    if not whole:
+        found = found.groupBy("cid").agg(F.max(F.struct("spare", "other")).alias("best")).select("cid", F.col("best.other").alias("other"))
+    return found.select(F.least("cid", "other").alias("a"), F.greatest("cid", "other").alias("b")).distinct()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -353,15 +420,15 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
 
     one = sets.select(F.col("cid").alias("a"), F.col("members").alias("x"))
     two = sets.select(F.col("cid").alias("b"), F.col("members").alias("y"))
-    return pairs.join(two, "b").join(one, "a").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return pairs.join(two, "b").join(one, "a").select("a", "b", "x", "y").mapInArrow(lean(run), "a long, b long")
 
 
 class _State:
     """What is known so far: sets fetched, labels of components."""
 
-    def __init__(self, docs: DataFrame, rows: DataFrame, k: int, seed: int, num: int, den: int) -> None:
+    def __init__(self, docs: DataFrame, rows: DataFrame, k: int, shared: frozenset[int], num: int, den: int) -> None:
         self.rows = rows
-        self.docs, self.k, self.seed, self.num, self.den = docs, k, seed, num, den
+        self.docs, self.k, self.shared, self.num, self.den = docs, k, shared, num, den
         self.sets: DataFrame | None = None
         self.labels: DataFrame | None = None
 
@@ -374,17 +441,18 @@ class _State:
             needed = needed.join(self.sets.select("cid"), "cid", "left_anti")
         needed = staged(needed, "jaccard-needed")
         if self.sets is None or needed.limit(1).count():
-            more = staged(_sets(self.docs, self.k, self.seed, needed, self.rows), "jaccard-sets")
+            more = staged(_sets(self.docs, self.k, self.shared, needed, self.rows), "jaccard-sets")
             self.sets = more if self.sets is None else self.sets.unionByName(more)
 
-    def still_open(self, lists: DataFrame, first: int) -> DataFrame:
-        """Lists, with labels, that have members in several components and are not scanned to their end."""
+    def still_open(self, lists: DataFrame, longer_than: int = 1) -> DataFrame:
+        """Lists that have members in several components: (sig, cid, first), the label and the number of members."""
         if self.labels is None:
             at = lists.withColumn("label", F.col("cid"))
         else:
             at = lists.join(self.labels, F.col("cid") == F.col("node"), "left").select(*lists.columns, F.coalesce("label", "cid").alias("label"))
-        apart = at.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("sig")
-        return staged(at.where(F.col("members") > first).join(staged(apart, "jaccard-apart"), "sig", "left_semi"), "jaccard-open")
+        apart = at.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("members"))
+        apart = apart.where((F.col("lo") != F.col("hi")) & (F.col("members") > longer_than)).select("sig", "members")
+        return staged(at.join(staged(apart, "jaccard-apart"), "sig"), "jaccard-open")
 
     def apart(self, pairs: DataFrame) -> DataFrame:
         """Pairs that are not connected yet."""
@@ -394,16 +462,19 @@ class _State:
         two = self.labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
         return pairs.join(one, "a", "left").join(two, "b", "left").where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
 
-    def compare(self, pairs: DataFrame) -> None:
+    def compare(self, pairs: DataFrame) -> bool:
+        """Whether any of the pairs link; if so, their components are merged."""
         pairs = staged(pairs, "jaccard-compare")
         if not pairs.limit(1).count():
-            return
+            return False
         nodes = self.nodes(pairs)
         self.fetch(nodes)
         sets = self.sets.join(nodes, "cid", "left_semi")
         found = staged(_verified(pairs, sets, self.num, self.den), "jaccard-links")
-        if found.limit(1).count():
+        linked = bool(found.limit(1).count())
+        if linked:
             self.join(found)
+        return linked
 
     def join(self, links: DataFrame) -> None:
         """Merge components along links: these are few nodes, the labels so far, however large the components."""
@@ -420,14 +491,20 @@ class _State:
         self.labels = staged(old.unionByName(new), "jaccard-labels")
 
 
+def _shared_names(table: DataFrame) -> frozenset[int]:
+    """Names that two sets have: of 10^10 sets, some three."""
+    named = table.where("kind = 0 and n > 0").groupBy("cid").agg(F.min("check").alias("x"), F.max("check").alias("y"))
+    return frozenset(r["cid"] for r in named.where("x <> y").select("cid").collect())
+
+
 def linked_classes(docs: DataFrame, k: int, num: int, den: int, boundary: int | None = None) -> tuple[DataFrame, DataFrame | None]:
     """Documents (doc_id, h, n, cid) and, if any classes link, (node, label) of those: the components of classes."""
     small_batches(docs.sparkSession)
-    for seed in range(8):  # another seed only if 64 bits did not tell two sets apart
-        table = staged(profile(docs, k, seed), "jaccard-profile")
-        rows = table.where("kind = 0")
-        if not rows.where("n > 0").groupBy("cid").agg(F.min("check").alias("x"), F.max("check").alias("y")).where("x <> y").limit(1).count():
-            break
+    table = staged(profile(docs, k), "jaccard-profile")
+    shared = _shared_names(table)
+    if shared:
+        table = staged(profile(docs, k, shared), "jaccard-profile")
+    rows = table.where("kind = 0")
     frequent = table.where("kind = 1").groupBy("cid").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT_COUNT).orderBy(F.desc("n"), "cid").limit(FREQUENT).collect()
     order = Order(np.array([r["cid"] for r in frequent], np.int64).view(np.uint64), np.array([r["n"] for r in frequent], np.int64))
     if boundary is None:
@@ -436,21 +513,15 @@ def linked_classes(docs: DataFrame, k: int, num: int, den: int, boundary: int |
         boundary = choose_boundary(sizes, (total or 0) / max(1, distinct or 0) - 1 if total else 0.0, num, den)
     scheme = Scheme(num, den, boundary)
 
-    # Lists of two classes or more; each class once in a list, numbered by its hash.
-    by = W.partitionBy("sig").orderBy("cid")
-    lists = _signatures(docs, k, seed, order, scheme).withColumn("before", F.lag("cid").over(by)).withColumn("last", F.max("cid").over(W.partitionBy("sig")))
-    lists = lists.where("last <> cid or before <> cid").where("before is null or before <> cid").select("sig", "cid", "n", F.dense_rank().over(by).alias("rank"))
-    lists = staged(lists.withColumn("members", F.max("rank").over(W.partitionBy("sig"))), "jaccard-lists")
-    bits = staged(rows.where("n > 0").groupBy("cid").agg(F.first("bits").alias("bits")), "jaccard-bitmaps")
-
-    def near(at: DataFrame, pivots, one_each: bool = False) -> DataFrame:  # noqa: ANN001
-        """Pairs of a pivot and a later member of its list, not connected, of sizes and bitmaps that may link."""
-        one = at.where(pivots).select("sig", F.col("cid").alias("p"), F.col("n").alias("pn"), F.col("rank").alias("prank"), F.col("label").alias("plabel"))
-        fit = (F.least("n", "pn").cast("long") * den >= F.greatest("n", "pn").cast("long") * num) & (F.col("rank") > F.col("prank")) & (F.col("label") != F.col("plabel"))
-        pairs = at.join(one, "sig").where(fit).select(F.col("p").alias("a"), F.col("cid").alias("b"), F.col("pn").alias("na"), F.col("n").alias("nb"))
-        if one_each:
-            pairs = pairs.groupBy("b", "nb").agg(F.min(F.struct("a", "na")).alias("a")).select("a.a", "b", "a.na", "nb")
-        return staged(_near(pairs.distinct(), bits, num, den), "jaccard-pairs")
+    # Lists of two classes or more, each class once.
+    entries = staged(_signatures(docs, k, shared, order, scheme), "jaccard-signatures")
+    several = entries.groupBy("sig").agg(F.min("cid").alias("first"), F.max("cid").alias("last")).where("first <> last").select("sig", "first")
+    lists = staged(entries.join(several, "sig").groupBy("sig", "cid", "first").agg(F.lit(1).alias("one")).drop("one"), "jaccard-lists")
+    bits = staged(rows.where("n > 0").groupBy("cid").agg(F.first("bits").alias("bits"), F.first("n").alias("n")), "jaccard-bitmaps")
+    state = _State(docs, rows, k, shared, num, den)
+
+    def near(pairs: DataFrame) -> DataFrame:
+        return staged(_near(state.apart(pairs), bits, num, den), "jaccard-pairs")
 
     def compare(pairs: DataFrame) -> None:
         # One partner for each class first, where there are many: near copies of one text are mostly connected by that.
@@ -460,15 +531,30 @@ def linked_classes(docs: DataFrame, k: int, num: int, den: int, boundary: int |
             pairs = state.apart(pairs)
         state.compare(pairs)
 
-    state = _State(docs, rows, k, seed, num, den)
-    compare(near(lists.withColumn("label", F.col("cid")), F.col("rank") == 1, one_each=True))
-    at = state.still_open(lists, 1)
-    compare(near(at, (F.col("rank") == 1) | (F.col("members") <= SHORT)))
-    at = state.still_open(at.drop("label").where(F.col("members") > SHORT), 1)
+    state.compare(near(lists.where("first <> cid").groupBy(F.col("cid").alias("b")).agg(F.min("first").alias("a")).select("a", "b")))
+    at = state.still_open(lists)
+    short = at.where(F.col("members") <= SHORT).select("sig", "cid", "label")
+    two = short.select("sig", F.col("cid").alias("b"), F.col("label").alias("lb"))
+    pairs = short.join(two, "sig").where("cid < b and label <> lb").select(F.col("cid").alias("a"), "b")
+    first = at.where((F.col("members") > SHORT) & (F.col("first") != F.col("cid"))).select(F.col("first").alias("a"), F.col("cid").alias("b"))
+    compare(near(pairs.unionByName(first).distinct()))
+
+    at = state.still_open(at.select("sig", "cid", "first"), SHORT)
     if at.limit(1).count():
-        compare(_block_pairs(at, bits, num, den))
-    labels = state.labels
-    return rows.select("doc_id", "h", "n", "cid"), labels
+        members = staged(at.select("cid").distinct(), "jaccard-members")
+        state.fetch(members)
+        fine = staged(_fine(state.sets.join(members, "cid", "left_semi")), "jaccard-fine")
+
+        def of_blocks(whole: bool) -> DataFrame:
+            names = at.groupBy("cid").agg(F.sort_array(F.collect_list("sig")).alias("names")).select("cid", F.slice("names", 1, NAMED).alias("names"))
+            return _of_blocks(at.select("sig", "cid", "label"), fine.join(names, "cid"), num, den, whole)
+
+        for _ in range(LINK_ROUNDS):
+            if not state.compare(of_blocks(False)):
+                break
+            at = state.still_open(at.select("sig", "cid", "first"), SHORT)
+        state.compare(of_blocks(True))
+    return rows.select("doc_id", "h", "n", "cid"), state.labels
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, boundary: int | None = None) -> DataFrame:

@@ -469,6 +469,52 @@ def test_jaccard_join(spark, k, num, den, boundary):
     assert got == plain_components(rows, k, num, den)
 
 
+def near_copies(seed: int, groups=((150, 60, 4), (40, 200, 12))):
+    """Families of near copies, some a few words from each other, some too far, and others' passages in them."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    rows = []
+    for size, words, most in groups:
+        base = [word() for _ in range(words)]
+        for _ in range(size):
+            w = list(base)
+            for _ in range(rng.randint(0, most)):
+                w[rng.randrange(len(w))] = word()
+            rows.append((len(rows), " ".join(w), "en", "s", 0))
+    rng.shuffle(rows)
+    return [(i, t, lang, s, n) for i, (_, t, lang, s, n) in enumerate(rows)]
+
+
+@pytest.mark.parametrize("rounds", [0, 3])
+def test_long_lists_meet_by_blocks(spark, monkeypatch, rounds):
+    rows = near_copies(rounds)
+    df = spark.createDataFrame(rows, DOCS).repartition(3)
+    for name, value in (("SHORT", 2), ("BLOCK", 8), ("LINK_ROUNDS", rounds), ("NAMED", 2)):
+        monkeypatch.setattr(jaccard, name, value)
+    made = []
+    kept = jaccard._of_blocks
+    monkeypatch.setattr(jaccard, "_of_blocks", lambda *a: (made.append((a[-1], kept(*a).count())), kept(*a))[1])
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.near_duplicates(df, 4, 85, 100).collect())
+    assert got == plain_components(rows, 4, 85, 100)
+    assert made and made[-1][0] and all(n <= len(rows) for whole, n in made if not whole)
+
+
+def test_sets_of_one_name_are_told_apart(spark, monkeypatch):
+    rows = some_docs(seed=3, n=40)
+    df = spark.createDataFrame(rows, DOCS).repartition(2)
+    seen = []
+
+    def every_other(table):
+        seen.extend(r.cid for r in table.where("kind = 0 and n > 0").select("cid").distinct().collect())
+        return frozenset(sorted(seen)[::2])
+
+    monkeypatch.setattr(jaccard, "_shared_names", every_other)
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.near_duplicates(df, 4, 85, 100).collect())
+    assert got == plain_components(rows, 4, 85, 100)
+    sets = shingle_sets([t.encode() for _, t, *_ in rows if t and t.split()], 4)
+    assert {jaccard._name(x, frozenset()) for x in sets} >= set(seen) and not {jaccard._name(x, frozenset(seen)) for x in sets} & set(seen)
+
+
 def test_shingles_and_bitmaps():
     a, b, c, d = shingle_sets([b"One two\tthree four", b"one  two three FOUR\n", b"one two", b" "], 4)
     assert (a == b).all() and len(a) == 1 and len(c) == 1 and len(d) == 0 and a[0] != c[0]
