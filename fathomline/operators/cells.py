@@ -35,41 +35,45 @@ def _cuts(a: Column, b: Column, size: int) -> Column:
     return F.when((a == b) | (first > last), none).otherwise(F.transform(F.sequence(first, last), lambda k: (k * size - a) / (b - a)))
 
 
-def pieces(df: DataFrame, size: int, points: str = "trajectory", keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per piece: the kept columns, ``leg``, ``part``, ends (t in seconds, x, y) and cell."""
+def pieces(df: DataFrame, size: int, points: str = "trajectory", keep: tuple[str, ...] = (), once: tuple[str, ...] = ()) -> DataFrame:
+    """One row per piece: the kept columns, ``leg``, ``part``, ends (t in seconds, x, y) and cell; the columns of
+    ``once`` come with a trajectory's first piece only and are null in the others."""
     n = F.size(points)
     legs = F.arrays_zip(F.slice(points, 1, F.greatest(n - 1, F.lit(0))).alias("p"), F.slice(points, 2, F.greatest(n - 1, F.lit(0))).alias("q"))
     seconds = lambda c: F.unix_micros(c) / 1e6
-    df = df.where(n >= 2).select(*keep, F.posexplode(legs).alias("leg", "l"))
-    df = df.select(*keep, "leg", *[F.col(f"l.{e}.{c}").alias(f"{e}{c}") for e in "pq" for c in "xy"], seconds(F.col("l.p.t")).alias("pt"), seconds(F.col("l.q.t")).alias("qt"))
+    df = df.where(n >= 2).select(*keep, *once, F.posexplode(legs).alias("leg", "l"))
+    df = df.select(*keep, *[F.when(F.col("leg") == 0, F.col(c)).alias(c) for c in once], "leg", *[F.col(f"l.{e}.{c}").alias(f"{e}{c}") for e in "pq" for c in "xy"], seconds(F.col("l.p.t")).alias("pt"), seconds(F.col("l.q.t")).alias("qt"))
     us = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(1.0)), _cuts(F.col("px"), F.col("qx"), size), _cuts(F.col("py"), F.col("qy"), size))))
     df = df.withColumn("us", F.filter(us, lambda u: (u >= 0) & (u <= 1)))
     m = F.size("us") - 1
-    df = df.select(*keep, "leg", "px", "py", "qx", "qy", "pt", "qt", F.posexplode(F.arrays_zip(F.slice("us", 1, m).alias("u"), F.slice("us", 2, m).alias("v"))).alias("part", "s"))
+    df = df.select(*keep, *once, "leg", "px", "py", "qx", "qy", "pt", "qt", F.posexplode(F.arrays_zip(F.slice("us", 1, m).alias("u"), F.slice("us", 2, m).alias("v"))).alias("part", "s"))
     at = lambda c, u: F.when(u == 1, F.col(f"q{c}")).otherwise(F.col(f"p{c}") + u * (F.col(f"q{c}") - F.col(f"p{c}")))
     u, v = F.col("s.u"), F.col("s.v")
     middle = (u + v) / 2
     return df.select(
-        *keep, "leg", "part", *[at(c, u).alias(f"{c}0") for c in "xyt"], *[at(c, v).alias(f"{c}1") for c in "xyt"],
+        *keep, *[F.when(F.col("part") == 0, F.col(c)).alias(c) for c in once], "leg", "part", *[at(c, u).alias(f"{c}0") for c in "xyt"], *[at(c, v).alias(f"{c}1") for c in "xyt"],
         cell_of(at("x", middle), size).alias("cell_x"), cell_of(at("y", middle), size).alias("cell_y"),
     )
 
 
-def crossings(df: DataFrame, size: int, keys: tuple[str, ...], points: str = "trajectory") -> DataFrame:
-    """One row per crossing: keys, cell, first and last point, length, the set of courses.
+def crossings(df: DataFrame, size: int, keys: tuple[str, ...], points: str = "trajectory", once: tuple[str, ...] = ()) -> DataFrame:
+    """One row per crossing: keys, cell, first and last point, length, the set of courses, and the trajectory's columns ``once``.
 
-    ``keys`` name a trajectory; its pieces are bounded by its own length."""
-    p = pieces(df, size, points, keys)
+    ``keys`` name a trajectory; its pieces are bounded by its own length. All steps share one dealing by the keys: the columns
+    ``once`` travel with the first piece and are spread over the crossings afterwards, so no join brings them back."""
+    p = pieces(df, size, points, keys, once)
     by = W.partitionBy(*keys).orderBy("leg", "part")
     same = (F.col("cell_x") == F.lag("cell_x").over(by)) & (F.col("cell_y") == F.lag("cell_y").over(by))
     p = p.withColumn("enters", (~F.coalesce(same, F.lit(False))).cast("int"))
     p = p.withColumn("crossing", F.sum("enters").over(by.rowsBetween(W.unboundedPreceding, 0)))
     p = p.withColumns({"metres": F.hypot(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")), "course": azimuth(F.round(F.col("x1") - F.col("x0"), 6), F.round(F.col("y1") - F.col("y0"), 6))})
     at = F.struct("leg", "part")
-    return p.groupBy(*keys, "crossing", "cell_x", "cell_y").agg(
+    out = p.groupBy(*keys, "crossing", "cell_x", "cell_y").agg(
         *[F.min_by(f"{c}0", at).alias(f"{c}0") for c in "xyt"], *[F.max_by(f"{c}1", at).alias(f"{c}1") for c in "xyt"],
-        F.sum("metres").alias("metres"), F.array_sort(F.collect_set(F.round("course", 6))).alias("courses"),
+        F.sum("metres").alias("metres"), F.array_sort(F.collect_set(F.round("course", 6))).alias("courses"), *[F.first(c, ignorenulls=True).alias(c) for c in once],
     )
+    spread = W.partitionBy(*keys).orderBy("crossing").rowsBetween(W.unboundedPreceding, 0)
+    return out.withColumns({c: F.first(c, ignorenulls=True).over(spread) for c in once}) if once else out
 
 
 def direction(x: Column, y: Column, cell_x: Column, cell_y: Column, size: int) -> Column:
@@ -92,21 +96,20 @@ def fact_cell(trajectories: DataFrame, size: int, keys: tuple[str, ...], carry:
     ``window``, a predicate on the trajectory columns, bounds what is cut at all (the on-the-fly variant).
     """
     df = trajectories if window is None else trajectories.where(window)
-    cut = crossings(df, size, keys)
-    rest = df.select(*keys, *[c for c in carry if c not in keys], "heading", "draught")
-    joined = cut.join(rest, list(keys))
+    carry = tuple(c for c in carry if c not in keys)
+    cut = crossings(df, size, keys, once=(*carry, "heading", "draught"))
     second = lambda c: F.timestamp_seconds(F.floor(c))
-    rows = joined.withColumns({"tmin": second(F.col("t0")), "tmax": second(F.col("t1"))})
+    rows = cut.withColumns({"tmin": second(F.col("t0")), "tmax": second(F.col("t1"))})
+    rows = rows.withColumn("headings", steps_within(F.col("heading"), F.col("tmin"), F.col("tmax")))
     x, y = F.col("cell_x"), F.col("cell_y")
     edge = lambda e: direction(F.col(f"x{e}"), F.col(f"y{e}"), x, y, size)
     seconds = F.unix_seconds("tmax") - F.unix_seconds("tmin")
-    turns = circular_delta(steps_within(F.col("heading"), F.col("tmin"), F.col("tmax")))
     return rows.select(
-        *keys, *[c for c in carry if c not in keys], "cell_x", "cell_y", "crossing",
+        *keys, *carry, "cell_x", "cell_y", "crossing",
         date_key(F.col("tmin")).alias("entry_date_id"), time_key(F.col("tmin")).alias("entry_time_id"), date_key(F.col("tmax")).alias("exit_date_id"), time_key(F.col("tmax")).alias("exit_time_id"),
         direction_id(edge("0"), edge("1")).alias("direction_id"),
         (F.col("metres") / F.greatest(seconds, F.lit(1)) * CELL_KNOTS).alias("sog"),
-        F.when(F.size(steps_within(F.col("heading"), F.col("tmin"), F.col("tmax"))) > 0, turns).otherwise(F.lit(-1.0)).alias("delta_heading"),
+        F.when(F.size("headings") > 0, circular_delta(F.col("headings"))).otherwise(F.lit(-1.0)).alias("delta_heading"),
         least_step(F.col("draught"), F.col("tmin"), F.col("tmax")).alias("draught"), circular_delta(F.col("courses")).alias("delta_cog"),
         (x * size).cast("double").alias("xmin"), (y * size).cast("double").alias("ymin"), ((x + 1) * size).cast("double").alias("xmax"), ((y + 1) * size).cast("double").alias("ymax"), "tmin", "tmax",
     )

@@ -6,6 +6,7 @@ The tree is built on the driver from at most one row per 5 km cell of the domain
 from __future__ import annotations
 
 import heapq
+import itertools
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,8 +16,6 @@ from pyspark.sql import functions as F
 from fathomline.schema import DOMAIN, TILE
 
 
-MOST_LEAVES = 10_000
-
 
 @dataclass(frozen=True)
 class Leaf:
@@ -29,62 +28,59 @@ class Leaf:
 
 
 class Counts:
-    """Sums of cell counts over rectangles, by a table of prefix sums."""
+    """Cell counts over the tiles of a domain, summed over any rectangle of tiles."""
 
     def __init__(self, counts: dict[tuple[int, int], int], domain: tuple[int, int, int, int]) -> None:
-        self.x0, self.y0 = domain[0] // TILE, domain[1] // TILE
-        grid = np.zeros((domain[2] // TILE - self.x0, domain[3] // TILE - self.y0), np.int64)
+        if any(v % TILE for v in domain):
+            raise ValueError(f"a domain's edges are multiples of {TILE}")
+        self.origin = domain[0] // TILE, domain[1] // TILE
+        grid = np.zeros((domain[2] // TILE - self.origin[0], domain[3] // TILE - self.origin[1]), np.int64)
         for (x, y), n in counts.items():
-            if 0 <= x - self.x0 < grid.shape[0] and 0 <= y - self.y0 < grid.shape[1]:
-                grid[x - self.x0, y - self.y0] += n
-        self.sums = np.zeros((grid.shape[0] + 1, grid.shape[1] + 1), np.int64)
-        self.sums[1:, 1:] = grid.cumsum(0).cumsum(1)
-
-    def inside(self, xmin: int, ymin: int, xmax: int, ymax: int) -> int:
-        """Of the cells wholly inside."""
-        a, b = (max(0, -(-v // TILE) - o) for v, o in ((xmin, self.x0), (ymin, self.y0)))
-        c, d = min(self.sums.shape[0] - 1, xmax // TILE - self.x0), min(self.sums.shape[1] - 1, ymax // TILE - self.y0)
-        return int(self.sums[c, d] - self.sums[a, d] - self.sums[c, b] + self.sums[a, b]) if c > a and d > b else 0
-
-
-def best_split(lo: int, hi: int, inside) -> int:
-    """The multiple of a tile that halves the points between lo and hi: a binary search toward the fuller side."""
-    below = above = 0
-    while hi - lo > TILE:
-        split = lo + (hi - lo) // 2 - (hi - lo) // 2 % TILE
-        left, right = inside(lo, split) + below, inside(split, hi) + above
-        if left == right:
-            return split
-        if left > right:
-            hi, above = split, right
-        else:
-            lo, below = split, left
-    return lo if below > above else hi
+            if 0 <= x - self.origin[0] < grid.shape[0] and 0 <= y - self.origin[1] < grid.shape[1]:
+                grid[x - self.origin[0], y - self.origin[1]] += n
+        self.grid = grid
+
+    def part(self, xmin: int, ymin: int, xmax: int, ymax: int) -> np.ndarray:
+        (x0, y0), (a, b, c, d) = self.origin, (v // TILE for v in (xmin, ymin, xmax, ymax))
+        return self.grid[a - x0 : c - x0, b - y0 : d - y0]
+
+
+def halving_edge(columns: np.ndarray) -> int:
+    """Before which column to cut so that both sides hold about half: bisection over the running totals.
+
+    A cut with equal sides ends the search; else the cut is the edge next to the middle of the counts whose outer side is fuller."""
+    totals = np.concatenate([[0], columns.cumsum()])
+    surplus = 2 * totals - totals[-1]  # points before an edge less those behind it
+    low, high = 0, len(columns)
+    while high - low > 1:
+        middle = (low + high) // 2
+        if surplus[middle] == 0:
+            return middle
+        low, high = (low, middle) if surplus[middle] > 0 else (middle, high)
+    return low if totals[low] > totals[-1] - totals[high] else high
 
 
 def kd_tree(counts: dict[tuple[int, int], int], leaves: int, domain: tuple[int, int, int, int] = DOMAIN) -> list[Leaf]:
-    """Split the fullest leaf that is two tiles wide or high, along the axis its level asks for, until there are enough."""
-    table = Counts(counts, domain)
-    order = 0
-    open_ = [(-table.inside(*domain), order, Leaf(*domain, table.inside(*domain), 1))]
-    done: list[Leaf] = []
-    while open_ and len(open_) + len(done) < leaves:
-        leaf = heapq.heappop(open_)[2]
-        wide, high = leaf.xmax - leaf.xmin >= 2 * TILE, leaf.ymax - leaf.ymin >= 2 * TILE
-        if not wide and not high:
-            done.append(leaf)
+    """Cut the fullest leaf, of equals the oldest, until there are enough: even levels across x, odd ones across y, the
+    other axis where a leaf is but one tile wide there."""
+    table, born = Counts(counts, domain), itertools.count()
+    root = Leaf(*domain, int(table.grid.sum()), 1)
+    waiting, whole = [(-root.points, next(born), root)], []
+    while waiting and len(waiting) + len(whole) < leaves:
+        leaf = heapq.heappop(waiting)[2]
+        tiles = table.part(leaf.xmin, leaf.ymin, leaf.xmax, leaf.ymax)
+        axis = leaf.level % 2 if tiles.shape[leaf.level % 2] > 1 else 1 - leaf.level % 2
+        if tiles.shape[axis] < 2:
+            whole.append(leaf)
             continue
-        if (leaf.level % 2 == 0 and wide) or not high:
-            at = best_split(leaf.xmin, leaf.xmax, lambda a, b, leaf=leaf: table.inside(a, leaf.ymin, b, leaf.ymax))
-            parts = ((at, leaf.ymin, leaf.xmax, leaf.ymax), (leaf.xmin, leaf.ymin, at, leaf.ymax))
-        else:
-            at = best_split(leaf.ymin, leaf.ymax, lambda a, b, leaf=leaf: table.inside(leaf.xmin, a, leaf.xmax, b))
-            parts = ((leaf.xmin, at, leaf.xmax, leaf.ymax), (leaf.xmin, leaf.ymin, leaf.xmax, at))
-        for box in parts:
-            order += 1
-            n = table.inside(*box)
-            heapq.heappush(open_, (-n, order, Leaf(*box, n, leaf.level + 1)))
-    return done + [x[2] for x in sorted(open_)]
+        edge = halving_edge(tiles.sum(1 - axis))
+        for side in (slice(edge, None), slice(edge)):  # the upper part is the older
+            first, last, _ = side.indices(tiles.shape[axis])
+            box = [leaf.xmin, leaf.ymin, leaf.xmax, leaf.ymax]
+            box[axis], box[axis + 2] = (box[axis] + TILE * at for at in (first, last))
+            n = int((tiles[side] if axis == 0 else tiles[:, side]).sum())
+            heapq.heappush(waiting, (-n, next(born), Leaf(*box, n, leaf.level + 1)))
+    return whole + [x[2] for x in sorted(waiting)]
 
 
 def build_partitions(facts: DataFrame, leaves: int = 400, domain: tuple[int, int, int, int] = DOMAIN) -> DataFrame:
@@ -97,13 +93,17 @@ def build_partitions(facts: DataFrame, leaves: int = 400, domain: tuple[int, int
 
 def assign_partition(boxes: DataFrame, partitions: DataFrame, names=("xmin", "ymin", "xmax", "ymax")) -> DataFrame:
     """The partition that covers each box, half-open at the upper edges: a box that only touches them from inside is covered,
-    one that begins there is the neighbour's. Boxes in none are dropped. The partitions are broadcast; MOST_LEAVES bounds them."""
-    if partitions.count() > MOST_LEAVES:
-        raise ValueError(f"more than {MOST_LEAVES} partitions")
+    one that begins there is the neighbour's. Boxes in none are dropped.
+
+    Partitions are spread over the tiles they meet and joined with the tile in which a box begins: an equality, so
+    Spark may broadcast or deal out either side."""
     a, b, c, d = map(F.col, names)
+    tile = lambda v: F.floor(v / TILE).cast("long")
     p = partitions.select("partition_id", *[F.col(k).alias(f"p_{k}") for k in ("xmin", "ymin", "xmax", "ymax")])
-    cond = (a >= F.col("p_xmin")) & (c <= F.col("p_xmax")) & (b >= F.col("p_ymin")) & (d <= F.col("p_ymax")) & (F.col("p_ymax") != b) & (F.col("p_xmax") != a)
-    return boxes.join(F.broadcast(p), cond).drop("p_xmin", "p_ymin", "p_xmax", "p_ymax")
+    for k in "xy":
+        p = p.withColumn(f"p_tile_{k}", F.explode(F.sequence(tile(F.col(f"p_{k}min")), (F.ceil(F.col(f"p_{k}max") / TILE) - 1).cast("long"))))
+    inside = (a >= F.col("p_xmin")) & (c <= F.col("p_xmax")) & (b >= F.col("p_ymin")) & (d <= F.col("p_ymax")) & (F.col("p_ymax") != b) & (F.col("p_xmax") != a)
+    return boxes.join(p, (tile(a) == F.col("p_tile_x")) & (tile(b) == F.col("p_tile_y")) & inside).select(*[boxes[x] for x in boxes.columns], "partition_id")
 
 
 def domain_table(spark: SparkSession) -> DataFrame:

@@ -89,17 +89,19 @@ SHIP_NUMBERS = ("imo", "a", "b", "c", "d", "length", "width")
 
 
 def trajectories(points: DataFrame, keys: tuple[str, ...] = ("mmsi", "day")) -> DataFrame:
-    """One row per segment of cleaned points that ``segments`` has marked: keys, times, modes, arrays."""
-    ship = points.groupBy(*keys).agg(*[most_frequent(cleaned(F.col(c))).alias(c) for c in SHIP_TEXT], *[most_frequent(F.col(c)).alias(c) for c in SHIP_NUMBERS])
-    ship = ship.withColumns({"length": size_from_parts(F.col("length"), F.col("a"), F.col("b")), "width": size_from_parts(F.col("width"), F.col("c"), F.col("d"))})
+    """One row per segment of cleaned points that ``segments`` has marked: keys, times, modes, arrays.
+
+    The ship's attributes are modes over its day, as windows on the partitioning at hand, so points pass once."""
+    day = W.partitionBy(*keys)
+    points = points.withColumns({f"ship_{c}": most_frequent(cleaned(F.col(c)) if c in SHIP_TEXT else F.col(c)).over(day) for c in (*SHIP_TEXT, *SHIP_NUMBERS)})
     joint = F.mode(F.struct("eta", "nav_status", "destination"), True)
     step = lambda c: F.array_sort(F.collect_list(F.struct(F.col("ts").alias("t"), F.col(c).cast("double").alias("v"))))
     rows = points.groupBy(*keys, "segment", "infer_stopped").agg(
         F.min("ts").alias("start"), F.max("ts").alias("end"), joint.alias("joint"),
         F.array_sort(F.collect_list(F.struct(F.col("ts").alias("t"), "x", "y"))).alias("trajectory"),
-        *[step(c).alias(c) for c in ("rot", "heading", "draught")],
+        *[step(c).alias(c) for c in ("rot", "heading", "draught")], *[F.first(f"ship_{c}").alias(c) for c in (*SHIP_TEXT, *SHIP_NUMBERS)],
     )
-    rows = rows.join(ship, list(keys))
+    rows = rows.withColumns({"length": size_from_parts(F.col("length"), F.col("a"), F.col("b")), "width": size_from_parts(F.col("width"), F.col("c"), F.col("d"))})
     return rows.select(
         *keys, "segment", "infer_stopped",
         date_key(F.col("start")).alias("start_date_id"), time_key(F.col("start")).alias("start_time_id"), date_key(F.col("end")).alias("end_date_id"), time_key(F.col("end")).alias("end_time_id"),

@@ -41,9 +41,9 @@ def ships_of_types(ships: DataFrame, types: DataFrame, names: list[str]) -> Data
 def cell_query(facts: DataFrame, ships: DataFrame, types: DataFrame, w: Window, names: list[str]) -> DataFrame:
     """Distinct ships of some types with a cell fact that meets the window [start, end).
 
-    The date range prunes partitions, the box and times reach the scan, and the ships come by a semi join, so no
-    DISTINCT over wide rows is needed."""
-    hits = facts.where(F.col("entry_date_id").between(w.start_id // 10000 * 10000 + 101, w.end_id // 10000 * 10000 + 1231) & boxes_meet(*w.box) & w.times())
+    A trajectory is one ship's day, so a fact's times lie in its entry date: the date range prunes partitions, the box
+    and times reach the scan, and the ships come by a semi join, so no DISTINCT over wide rows is needed."""
+    hits = facts.where(F.col("entry_date_id").between(w.start_id, w.end_id) & boxes_meet(*w.box) & w.times())
     return ships_of_types(ships, types, names).join(hits.select("ship_id"), "ship_id", "left_semi")
 
 

@@ -17,7 +17,7 @@ def report_stream(spark: SparkSession, folder: str, files_per_trigger: int = 1)
 
 
 def load_stream(stream: DataFrame, load: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
-    """Hand each micro-batch to ``load``. Loads replace whole days, so a batch that runs twice leaves one copy."""
+    """Hand each micro-batch and its number to ``load``, such as ``load.take_reports``, which merges the files of a day."""
     return stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 

@@ -180,3 +180,88 @@ def test_streams(spark, tmp_path):
         assert sum(seen) == (5, 4)[i]
     events = spark.createDataFrame([(1, datetime(2021, 1, 1, 0, m), 1.0) for m in (0, 5, 30)], "k int, ts timestamp, v double")
     assert sorted(r.points for r in streaming.sessions(events, "k", "ts", "v").collect()) == [1, 2]
+
+
+def on(day: str, rows: list[tuple]) -> list[tuple]:
+    """The same reports on another date (dd/mm/yyyy)."""
+    return [(day + r[0][10:], *r[1:]) for r in rows]
+
+
+def partition_filters(df) -> str:
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return " ".join(line for line in plan.splitlines() if "PartitionFilters" in line)
+
+
+def test_date_filters_prune_folders(loaded):
+    facts, ships, types = (loaded.read(n) for n in ("fact_cell_1000m", "dim_ship", "dim_ship_type"))
+    w = queries.Window(0, 0, 1e7, 1e7, 20210304, 20210305)
+    heat = loaded.read("fact_cell_heatmap_1000m")
+    for df, column in (
+        (queries.cell_query(facts, ships, types, w, ["Passenger"]), "entry_date_id"), (queries.stored_cells(facts, w), "entry_date_id"),
+        (queries.trajectory_query(loaded.read("dim_trajectory"), loaded.read("fact_trajectory"), ships, types, w, ["Passenger"]), "start_date_id"),
+        (queries.heatmap_query(heat, types, "count", 1000, w, ["Passenger"], ["Class A"]), "date_id"),
+    ):
+        assert f"{column}#" in partition_filters(df).split("PartitionFilters: [", 1)[1], column
+
+
+def test_large_days_are_dealt_to_several_tasks(spark, tmp_path):
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k"}
+    kept = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = spark.range(0, 200_000, 1, 8).select(F.lit(20210304).alias("date_id"), F.xxhash64("id").alias("v"), F.rand(1).alias("x"))
+        warehouse.write_days(df, str(tmp_path / "t"), "date_id", ("x",))
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    back = spark.read.parquet(str(tmp_path / "t"))
+    assert back.count() == 200_000 and back.select(F.input_file_name()).distinct().count() > 4
+
+
+def test_a_stray_report_erases_nothing(spark, tmp_path):
+    w = load.Warehouse(spark, str(tmp_path / "wh"))
+    load.load_day(w, raw(spark, sailing(0, 40)), sizes=(5000,))
+    before = w.read("fact_cell_5000m").count()
+    stray = sailing(0, 30)[:1]  # a report of the day before in the next day's file
+    load.load_day(w, raw(spark, on("05/03/2021", sailing(0, 40)) + stray), sizes=(5000,))
+    counts = {r.entry_date_id: r["count"] for r in w.read("fact_cell_5000m").groupBy("entry_date_id").count().collect()}
+    assert counts == {20210304: before, 20210305: before}
+    cells = w.read("dim_cell_5000m")
+    assert cells.count() == cells.distinct().count() == w.read("fact_cell_5000m").select("cell_x", "cell_y").distinct().count()
+
+
+def test_files_of_one_day_are_merged(spark, tmp_path):
+    w, whole = (load.Warehouse(spark, str(tmp_path / n)) for n in ("parts", "whole"))
+    rows = sailing(0, 40)
+    for batch, part in enumerate((rows[:20], rows[20:], rows[20:])):  # the last batch runs twice
+        load.take_reports(w, raw(spark, part), min(batch, 1), sizes=(5000,))
+    load.load_day(whole, raw(spark, rows), sizes=(5000,))
+    facts = lambda x: sorted(map(tuple, x.read("fact_cell_5000m").select("trajectory_sub_id", "cell_x", "cell_y", "tmin", "tmax").collect()))
+    assert facts(w) == facts(whole) and facts(w)
+
+
+def test_a_day_without_plausible_reports(spark, tmp_path):
+    w = load.Warehouse(spark, str(tmp_path / "wh"))
+    load.load_day(w, raw(spark, sailing(0, 40)).where("false"), sizes=(5000,))
+    load.load_day(w, raw(spark, sailing(0, 2)), sizes=(5000,))  # too few points for a segment
+    assert w.read("audit_log").count() == 2 and not w.exists("fact_trajectory")
+
+
+def test_flag_state_in_the_ship_dimension(spark, tmp_path):
+    w = load.Warehouse(spark, str(tmp_path / "wh"))
+    mids = spark.createDataFrame([(219, "Europe", "Denmark")], "mid int, flag_region string, flag_state string")
+    load.load_day(w, raw(spark, sailing(0, 40)), sizes=(5000,), mids=mids)
+    assert [tuple(r) for r in w.read("dim_ship").select("mid", "flag_region", "flag_state").collect()] == [(219, "Europe", "Denmark")]
+
+
+def test_points_pass_once(spark):
+    from fathomline.operators import trajectory
+    from fathomline.operators.cells import fact_cell
+    from fathomline.operators.clean import clean
+
+    built = trajectory.build(clean(raw(spark, sailing(0, 40))))
+    plan = built._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FlatMapGroupsInPandas") == 1 and "Join" not in plan
+    built = built.withColumns({"ship_id": F.lit(1), "nav_status_id": F.lit(1)})
+    assert "Join" not in fact_cell(built, 1000, ("mmsi", "day"))._jdf.queryExecution().executedPlan().toString()
