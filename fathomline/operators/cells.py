@@ -57,7 +57,7 @@ def pieces(df: DataFrame, size: int, points: str = "trajectory", keep: tuple[str
 
 
 def crossings(df: DataFrame, size: int, keys: tuple[str, ...], points: str = "trajectory", once: tuple[str, ...] = ()) -> DataFrame:
-    """One row per crossing: keys, cell, first and last point, length, the set of courses, and the trajectory's columns ``once``.
+    """One row per crossing: keys, cell, first and last point (to the millimetre), length, the set of courses, and the trajectory's columns ``once``.
 
     ``keys`` name a trajectory; its pieces are bounded by its own length. All steps share one dealing by the keys: the columns
     ``once`` travel with the first piece and are spread over the crossings afterwards, so no join brings them back."""
@@ -69,7 +69,8 @@ def crossings(df: DataFrame, size: int, keys: tuple[str, ...], points: str = "tr
     p = p.withColumns({"metres": F.hypot(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")), "course": azimuth(F.round(F.col("x1") - F.col("x0"), 6), F.round(F.col("y1") - F.col("y0"), 6))})
     at = F.struct("leg", "part")
     out = p.groupBy(*keys, "crossing", "cell_x", "cell_y").agg(
-        *[F.min_by(f"{c}0", at).alias(f"{c}0") for c in "xyt"], *[F.max_by(f"{c}1", at).alias(f"{c}1") for c in "xyt"],
+        *[F.round(F.min_by(f"{c}0", at), 3).alias(f"{c}0") for c in "xy"], F.min_by("t0", at).alias("t0"),
+        *[F.round(F.max_by(f"{c}1", at), 3).alias(f"{c}1") for c in "xy"], F.max_by("t1", at).alias("t1"),
         F.sum("metres").alias("metres"), F.array_sort(F.collect_set(F.round("course", 6))).alias("courses"), *[F.first(c, ignorenulls=True).alias(c) for c in once],
     )
     spread = W.partitionBy(*keys).orderBy("crossing").rowsBetween(W.unboundedPreceding, 0)
