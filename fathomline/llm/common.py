@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import functools
 import gc
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -28,10 +29,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
-    It is ``spark.checkpoint.dir``; only where the session has none (tests on one machine) it is a temporary
+    It is ``spark.checkpoint.dir``; only where the session has none and runs on one machine (tests) it is a temporary
     folder of this process.
     """
-    return (spark.conf.get("spark.checkpoint.dir", None) or _own_dir()).rstrip("/")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir names no folder that the driver and all executors share")
+    return (named or _own_dir()).rstrip("/")
 
 
 @functools.cache

@@ -2,22 +2,24 @@
 
 The lexicon is the terms (runs of letters and digits, lower-cased) whose document frequency over all documents lies
 in a band: in at least max(2, N / 1000) documents and at most max(8, N / 20), that is, of middling inverse document
-frequency. It is held as a bitmap of 2 ** LEXICON_BITS places by term hash, so its size is fixed; a rare term that
+frequency. Copies of one text that make up more than the lower bound count as one document, so that no group of copies takes
+its own terms out of the band. The lexicon is held as a bitmap of 2 ** LEXICON_BITS places by term hash, so its size is fixed; a rare term that
 shares a place with a lexicon term counts as one.
 
 A fingerprint sorts the distinct lexicon terms of a text and hashes what is left of them in each of 2 * SUBSETS
 random lexicon subsets. Subsets come at two neighbouring densities (1 / 2 ** level and half of that), the level
 being that at which a text of its number of terms keeps between one and two of them, so that short and long
-texts alike lose only some hashes to an edit. A text without lexicon terms has the hash of all its terms instead.
+texts alike lose only some hashes to an edit. A text with fewer than FEW_TERMS lexicon terms takes all its terms in
+their place, by the same subsets; one without terms has the hash of none.
 Likeness is the share of equal hashes among the subsets that both fingerprints have and at least one fills.
 
 The next document is found without ranking all rows in one place: rows are dealt into ranges of doc_id, each
 range's first row also goes to the range before it (the very first to the last), and a window within each range
-looks one row ahead.
+looks one row ahead. Ranges hold about RANGE_ROWS rows, more beyond RANGES of them; rows of one doc_id share a range.
 
 Edge cases: a null text is empty; a null doc_id sorts first; rows of one doc_id follow each other by the hash of
 their text, so of repeated rows one is the other's next document; the only row of a table is its own next
-document; empty texts share one fingerprint; an empty table gives no rows; other columns are ignored.
+document; empty texts share one fingerprint; an empty table gives no rows; very long texts are rows as any other; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +33,8 @@ from fathomline.llm.common import staged, text_or_empty
 LEXICON_BITS = 20
 SUBSETS = 24
 RANGE_ROWS = 500
-RANGES = 4096
+RANGES = 1 << 16
+FEW_TERMS = 8
 NOT_A_TERM = r"[^\p{L}\p{N}]+"
 
 
@@ -44,7 +47,15 @@ def terms(text: Column) -> Column:
 def lexicon(docs: DataFrame, text: Column) -> DataFrame:
     """One row, ``bits``: the bitmap of the terms in the band, as 64-bit words."""
     n = docs.count()
-    least, most = max(2, -(-n // 1000)), max(8, n // 20)
+    least = max(2, -(-n // 1000))
+    h = F.xxhash64(text)
+    many = docs.groupBy(h.alias("h")).count().where(F.col("count") > least).collect()  # fewer than 1000 texts, by the bound
+    if many:
+        n -= sum(r["count"] - 1 for r in many)
+        copied = h.isin([r["h"] for r in many])
+        one_each = docs.where(copied).groupBy(h.alias("h")).agg(F.first(text).alias("text")).select("text")
+        docs, text = docs.where(~copied).select(text.alias("text")).unionByName(one_each), F.col("text")
+    most = max(8, n // 20)
     df = docs.select(F.explode(terms(text)).alias("term")).groupBy("term").agg(F.count("*").alias("df")).where(F.col("df").between(least, most))
     place = F.pmod("term", F.lit(1 << LEXICON_BITS))
     words = df.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))).alias("bits"))
@@ -65,6 +76,7 @@ def with_fingerprint(df: DataFrame, text: str, bits: DataFrame, prefix: str) ->
     all_, kept, level, subsets, subs = (f"{prefix}_{x}" for x in ("all", "kept", "level", "subsets", "subs"))
     df = df.withColumn(all_, terms(F.col(text)))
     df = df.withColumn(f"{prefix}_lexicon", bits.scalar()).withColumn(kept, F.filter(all_, in_lexicon)).drop(f"{prefix}_lexicon")
+    df = df.withColumn(kept, F.when(F.size(kept) < FEW_TERMS, F.col(all_)).otherwise(F.col(kept)))
     df = df.withColumn(level, F.when(F.size(kept) == 0, -1).otherwise(F.floor(F.log2(F.size(kept).cast("double") + 0.5)) + 1).cast("int"))
 
     numbers = F.array(*[F.lit(j) for j in range(SUBSETS)])
@@ -98,11 +110,11 @@ def with_next(docs: DataFrame, order: str, tie: str, values: dict[str, str]) ->
     key = F.coalesce(F.col(order).cast("long"), F.lit(-(1 << 63)).cast("long"))
     n = docs.count()
     ranges = min(RANGES, max(1, -(-n // RANGE_ROWS)))
-    cuts = sorted(set(docs.agg(F.min(key), F.percentile_approx(key, [i / ranges for i in range(1, ranges)] or [0.5], 50_000)).select("*").first()[1] or [])) if n else []
+    cuts = sorted(set(docs.agg(F.min(key), F.percentile_approx(key, [i / ranges for i in range(1, ranges)] or [0.5], max(50_000, 4 * ranges))).select("*").first()[1] or [])) if n else []
     least = docs.agg(F.min(key)).first()[0] if n else 0
     cuts = [c for c in cuts if c > least]
-    step = 64
-    lit = lambda xs: F.array(*[F.lit(x).cast("long") for x in xs])
+    step = max(64, 1 << (len(cuts).bit_length() // 2))
+    lit = lambda xs: F.split(F.lit(",".join(map(str, xs))), ",").cast("array<long>") if xs else F.array().cast("array<long>")
     # Ranges before the key, in two levels: whole steps of cuts, then within one.
     coarse, fine = lit(cuts[step - 1 :: step]), lit(cuts)
     steps = F.size(F.filter(coarse, lambda c: c <= F.col("next_key"))) if cuts else F.lit(0)

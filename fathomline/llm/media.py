@@ -4,8 +4,13 @@ Decoding covers P5/P6 (8 and 16 bit) and P2/P3 Netpbm and uncompressed 8-bit (gr
 Area resize takes exact box means from an integral image (fractional edges weighted). The feature of an image is
 its difference hash: resized to 9 x 8, one bit per pair of horizontal neighbours, left < right.
 
-Edge cases: a null image gives null outputs; a malformed one raises ``ValueError`` with its reason; an image of
-one row or one column is resized like any other; equal images give equal values.
+The query makes a media column of texts (each a 64-column grey image, by its checksum a PGM or a BMP), decodes it, writes its
+NPY tiles to the shared folder and computes all values from the tiles read back.
+
+Edge cases: a null image or a malformed one gives one row without a tile, the latter with its reason in ``error`` (``decode``
+itself raises ``ValueError``); an image of one row or one column is resized like any other; a null or empty text is 64
+bytes 0; very long texts are one image each; repeated rows and equal images give equal values; an empty table gives
+no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from fathomline.llm.common import dicts, small_batches, text_or_empty
+from fathomline.llm.common import dicts, lean, small_batches, staged, text_or_empty
 
 ROW = 64
 
@@ -137,45 +142,69 @@ def npy_tiles(gray: np.ndarray, edge: int = 64) -> list[tuple[int, int, bytes]]:
 
 
 def tiles(images: DataFrame, key: str, column: str, edge: int = 64) -> DataFrame:
-    """Explode an image column into rows (key, tile_row, tile_col, npy, dhash)."""
+    """Explode an image column into rows (key, tile_row, tile_col, npy, dhash, error)."""
+    kinds = [images.schema[key].dataType.simpleString(), "int", "int", "binary", "string", "string"]
+
+    def rows(k: object, data: bytes | None) -> list[tuple]:
+        if data is None:
+            return [(k, None, None, None, None, None)]
+        try:
+            gray = to_gray(decode(data))
+        except (ValueError, struct.error, IndexError, OverflowError) as e:
+            return [(k, None, None, None, None, str(e))]
+        return [(k, r, c, npy, difference_hash(np.load(io.BytesIO(npy))), None) for r, c, npy in npy_tiles(gray, edge)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in dicts(batches):
             for k, data in zip(b[key], b[column], strict=True):
-                if data is None:
-                    continue
-                gray = to_gray(decode(data))
-                found = [(k, r, c, npy, difference_hash(np.load(io.BytesIO(npy)))) for r, c, npy in npy_tiles(gray, edge)]
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*found, strict=True), (None, pa.int32(), pa.int32(), pa.binary(), pa.string()), strict=True)], [key, "tile_row", "tile_col", "npy", "dhash"])
+                found = zip(*rows(k, data), strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(found, (None if k is not None else pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.string(), pa.string()), strict=True)], [key, "tile_row", "tile_col", "npy", "dhash", "error"])
 
     small_batches(images.sparkSession)
-    kind = images.schema[key].dataType.simpleString()
-    return images.select(key, column).mapInArrow(run, f"`{key}` {kind}, tile_row int, tile_col int, npy binary, dhash string")
+    names = (f"`{key}`", "tile_row", "tile_col", "npy", "dhash", "error")
+    return images.select(key, column).mapInArrow(run, ", ".join(f"{n} {k}" for n, k in zip(names, kinds, strict=True)))
 
 
-def text_media(docs: DataFrame) -> DataFrame:
-    """Each text as UTF-8 in a 64-column grey PGM, read back and described; see ``query``."""
+def text_image(text: str) -> tuple[int, bytes]:
+    """The UTF-8 length of a text and its image: rows of 64 bytes, padded with 0; a PGM or, at an odd checksum, a BMP."""
+    raw = text.encode("utf-8", "surrogatepass")
+    payload = raw + bytes(-len(raw) % ROW if raw else ROW)
+    gray = np.frombuffer(payload, np.uint8).reshape(-1, ROW)
+    return len(raw), encode_bmp(gray) if zlib.crc32(payload) & 1 else encode_pgm(gray)
 
-    def one(text: str) -> tuple:
-        raw = text.encode("utf-8", "surrogatepass")
-        payload = raw + bytes(-len(raw) % ROW if raw else ROW)
-        media = encode_pgm(np.frombuffer(payload, np.uint8).reshape(-1, ROW))
-        gray = decode_netpbm(media)
-        stored = gray.tobytes()
-        return len(raw), len(stored), hashlib.sha256(stored).hexdigest(), zlib.crc32(stored[-ROW:]), len(media), hashlib.sha256(media).hexdigest(), difference_hash(gray)
 
-    names = ["n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+def text_tiles(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_bytes, tiles): the NPY tiles of each text's image from top to bottom."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in dicts(batches):
-            found = zip(*map(one, b["text"]), strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(b["doc_id"], pa.int64()), *(pa.array(x, t) for x, t in zip(found, kinds, strict=True))], ["doc_id", *names])
+            sizes, images = zip(*map(text_image, b["text"]), strict=True)
+            made = [[npy for _, _, npy in npy_tiles(decode(data), ROW * ROW)] for data in images]
+            yield pa.RecordBatch.from_arrays([pa.array(b["doc_id"], pa.int64()), pa.array(sizes, pa.int64()), pa.array(made, pa.list_(pa.binary()))], ["doc_id", "n_bytes", "tiles"])
 
     small_batches(docs.sparkSession)
+    return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(lean(run), "doc_id long, n_bytes long, tiles array<binary>")
+
+
+def described(stored: DataFrame) -> DataFrame:
+    """What ``text_tiles`` stored, read back: the payload's digests, the tiles' own and the difference hash of the whole image."""
+
+    def one(found: list[bytes]) -> tuple:
+        gray = np.concatenate([np.load(io.BytesIO(x), allow_pickle=False) for x in found])
+        payload, media = gray.tobytes(), b"".join(found)
+        return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-ROW:]), len(media), hashlib.sha256(media).hexdigest(), difference_hash(gray)
+
+    names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in dicts(batches):
+            found = zip(*map(one, b["tiles"]), strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(b["doc_id"], pa.int64()), pa.array(b["n_bytes"], pa.int64()), *(pa.array(x, t) for x, t in zip(found, kinds, strict=True))], ["doc_id", "n_bytes", *names])
+
     schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
-    return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(run, schema)
+    return stored.mapInArrow(lean(run), schema)
 
 
 def query(docs: DataFrame) -> DataFrame:
-    return text_media(docs)
+    return described(staged(text_tiles(docs), "media-tiles"))

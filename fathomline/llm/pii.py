@@ -1,14 +1,14 @@
 """PII surrogates: detected entities get keyed, type-consistent replacements.
 
-Types: e-mail address, telephone number, payment card number, IPv4 address, IBAN, US social security number, secret
+Types: e-mail address, telephone number, payment card number, IPv4 and IPv6 address, IBAN, US social security number, secret
 (token, password), personal name (after an honorific, or a listed given name before a listed family name). A surrogate is made from an HMAC of (type, canonical value, attempt): the same entity gets the
 same surrogate everywhere (coreference), in the format it was written in (separators, letter case, length, Luhn or
-mod-97 check digits, private or public address range). Names are replaced word by word, given names by given names
-of the same gender, family names by family names, in the script of the original; so "Ms Anna Weber" and "Weber" stay
-one person.
+mod-97 check digits, the address range, numbers that may be issued). Names are replaced word by word, given names by given names
+of the same gender, family names by family names, in the script of the original. Words of a name found in a text are
+replaced wherever else they stand in it, so in "Ms Anna Weber met Weber and Anna" both stay one person.
 
-Distinctness: digits of telephone numbers, cards, addresses and so on go through a keyed permutation (a Feistel
-network with cycle walking over the format's own domain), which cannot collide. Name words and e-mail local parts
+Distinctness: digits of telephone numbers, cards, addresses and so on go through a keyed permutation without fixed points (a
+Feistel network, conjugated with a step by one; cycle walking over the format's own domain), which cannot collide and never gives the entity itself. Name words and e-mail local parts
 are drawn by hash and can; distinct entities are therefore collected, surrogates that two entities share are
 found by an aggregation, and all but the first entity try again with the next attempt until none is shared. From the
 third attempt on surrogates grow with each, so any number of entities finds room. The
@@ -16,22 +16,24 @@ few entities that needed another attempt form a table. Up to ``BROADCAST_ENTITIE
 sent to all tasks; beyond, each document is joined with the entries it needs.
 
 Edge cases: a null text stays null; empty texts and texts without entities stay as they are; repeated rows get
-equal results; a secret of one sign repeated is a mask and stays; an empty table gives no rows; other columns are kept as they are.
+equal results; a secret of one sign repeated is a mask and stays; an empty table gives no rows;
+very long texts are searched whole, one at a time; other columns are kept as they are, but ``pii_entities`` and ``pii_distinct`` are replaced.
 """
 
 from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import itertools
 import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fathomline.llm.common import dicts, small_batches, staged
+from fathomline.llm.common import dicts, lean, small_batches, staged
 
 BROADCAST_ENTITIES = 100_000
 
@@ -46,11 +48,15 @@ FAMILY = {
     "latin": "Adler Bauer Becker Berger Bianchi Blanc Brown Carter Conti Costa Dubois Fischer Fontaine Garcia Green Hansen Hoffmann Jensen Keller Lambert Lopez Marino Martin Meyer Miller Moreau Morris Navarro Novak Olsen Parker Petit Ramos Ricci Romano Ruiz Schmidt Schneider Smith Taylor Torres Vogel Wagner Weber Wilson Wolf Young Ziegler".split(),
     "cyrillic": "Алексеев Белов Волков Гусев Ершов Зайцев Козлов Лебедев Морозов Новиков Орлов Павлов Соколов Титов Фролов".split(),
 }
+#: Capitalised words that begin a sentence and are no names.
+NO_NAMES = frozenset("After Also Although And As At Before Both But By During Each For From Has Have He Her Here His However I If In Is It Its Later Meanwhile Moreover Nevertheless No Not Now On Or Our She Since So Some Still That The Their Then There Therefore These They This Those Though Thus To Today Until Was We When Where While Who Why With Yes Yesterday Yet You Your".split())
 HONORIFICS = {"Mr": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Herr": "m", "Frau": "f", "Señor": "m", "Señora": "f", "Monsieur": "m", "Madame": "f"}
 
 _GENDER = {name: (script, sex) for (script, sex), names in GIVEN.items() for name in names}
 _FAMILY = {name: script for script, names in FAMILY.items() for name in names}
-_CAP = r"[A-ZÀ-ÖØ-ÞА-ЯЁ][a-zß-öø-ÿа-яё'’-]+"
+_UPPER, _LOWER = "A-ZÀ-ÖØ-ÞА-ЯЁ", "a-zß-öø-ÿа-яё"
+_CAP = rf"[{_UPPER}](?:['’][{_UPPER}])?[{_LOWER}]+(?:[-'’][{_UPPER}]?[{_LOWER}]+)*"
+_SHOUT = rf"[{_UPPER}](?:['’-]?[{_UPPER}])+"
 _TOKEN_PREFIX = r"gh[pousr]_|sk-|AKIA"
 _SECRET_WORD = r"[Pp]assword|PASSWORD|passwd|pwd|[Ss]ecret|SECRET|[Tt]oken|TOKEN|api_?key|API_?KEY"
 _KINDS = re.compile(
@@ -74,8 +80,16 @@ _COUNTRY = re.compile(r"\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|
 _MASK = re.compile(r"([^\w])\1+|_+")
 #: A secret of signs only becomes one of these.
 SIGNS = "!#$%&*+-./:=?@^~"
-_NAME = re.compile(rf"(?<!\w)(?:(?P<title>{'|'.join(HONORIFICS)}|Dr)\.? (?P<rest>{_CAP}(?: {_CAP}){{0,2}})|(?P<full>(?:{'|'.join(_GENDER)})(?: {_CAP})? (?:{'|'.join(_FAMILY)})))(?!\w)")
-_NAME_HINT = re.compile(rf"(?<!\w)(?:{'|'.join(HONORIFICS)}|Dr|{'|'.join(_GENDER)})(?!\w)")
+_TITLES = (*HONORIFICS, "Dr")
+_NAME = re.compile(
+    rf"(?<!\w)(?:(?P<title>{'|'.join(_TITLES)})\.? (?P<rest>{_CAP}(?: {_CAP}){{0,2}})|(?P<loud>{'|'.join(t.upper() for t in _TITLES)})\.? (?P<shout>{_SHOUT}(?: {_SHOUT}){{0,2}})"
+    rf"|(?P<full>(?:{'|'.join(_GENDER)})(?: {_CAP})? (?:{'|'.join(_FAMILY)})))(?!\w)"
+)
+_NAME_HINT = re.compile(rf"(?<!\w)(?:{'|'.join(_TITLES)}|{'|'.join(t.upper() for t in _TITLES)}|{'|'.join(_GENDER)})(?!\w)")
+_IPV6 = re.compile(r"(?<![\w:.])[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,7}(?![\w:.])")
+# Address ranges that a surrogate stays in; the rest is public.
+RANGES4 = tuple(map(ipaddress.ip_network, ("0.0.0.0/8", "10.0.0.0/8", "100.64.0.0/10", "127.0.0.0/8", "169.254.0.0/16", "172.16.0.0/12", "192.0.2.0/24", "192.168.0.0/16", "198.18.0.0/15", "198.51.100.0/24", "203.0.113.0/24", "224.0.0.0/4", "240.0.0.0/4")))
+RANGES6 = tuple(map(ipaddress.ip_network, ("fc00::/7", "fe80::/10", "ff00::/8", "2001:db8::/32", "2000::/3")))
 
 
 def _mac(key: bytes, *parts: object) -> int:
@@ -95,6 +109,24 @@ def permute(key: bytes, label: str, value: int, size: int) -> int:
             return value
 
 
+def unpermute(key: bytes, label: str, value: int, size: int) -> int:
+    """The inverse of ``permute``."""
+    half = max(1, (max(1, size - 1).bit_length() + 1) // 2)
+    mask = (1 << half) - 1
+    while True:
+        left, right = value >> half, value & mask
+        for r in reversed(range(6)):
+            left, right = right ^ (_mac(key, label, size, r, left) & mask), left
+        value = left << half | right
+        if value < size:
+            return value
+
+
+def derange(key: bytes, label: str, value: int, size: int) -> int:
+    """A keyed permutation of 0..size-1 that is one cycle: no fixed points, and who walks on comes back to ``value`` last."""
+    return unpermute(key, label, (permute(key, label, value, size) + 1) % size, size)
+
+
 def luhn(digits: str) -> int:
     """The check digit that makes ``digits`` + it valid."""
     total = sum(sum(divmod(2 * int(d), 10)) if i % 2 == 0 else int(d) for i, d in enumerate(reversed(digits)))
@@ -108,13 +140,31 @@ def _refill(shape: str, symbols: str, kind: str) -> str:
 
 
 def _digits(key: bytes, label: str, digits: str) -> str:
-    return f"{permute(key, f'{label}{len(digits)}', int(digits), 10 ** len(digits)):0{len(digits)}d}" if digits else ""
+    return f"{derange(key, f'{label}{len(digits)}', int(digits), 10 ** len(digits)):0{len(digits)}d}" if digits else ""
+
+
+def _address(key: bytes, value: str) -> str:
+    """An address of the same range; public ones stay public. Two ranges that overlap: the first holds."""
+    at = ipaddress.ip_address(value)
+    ranges = RANGES4 if at.version == 4 else RANGES6
+    home = next((i for i, r in enumerate(ranges) if at in r), None)
+    inside = ranges[home] if home is not None else ipaddress.ip_network("0.0.0.0/0" if at.version == 4 else "::/0")
+    start, n = int(inside.network_address), int(at) - int(inside.network_address)
+    while True:  # cycle walking past the ranges within this one that come before it
+        n = derange(key, f"ip{at.version}:{inside}", n, inside.num_addresses)
+        made = type(at)(start + n)
+        if next((i for i, r in enumerate(ranges) if made in r), None) == home:
+            return str(made)
 
 
 def canonical(kind: str, value: str) -> str:
     """What makes two writings one entity."""
     if kind == "email":
         return value.lower()
+    if ":" in kind:
+        return value.title() if value.isupper() else value
+    if kind == "ip6":
+        return ipaddress.ip_address(value).compressed
     return re.sub(r"[ ()./-]", "", value) if kind in ("phone", "card", "iban", "ssn") else value
 
 
@@ -144,20 +194,16 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
             if new.startswith("0") == rest.startswith("0"):
                 return _refill(value, kept.lstrip("+") + new, r"\d")
     if kind == "ssn":
-        return _refill(value, _digits(key, "ssn", re.sub(r"\D", "", value)), r"\d")
+        new = re.sub(r"\D", "", value)
+        while True:  # cycle walking: only numbers that may be issued
+            new = _digits(key, "ssn", new)
+            if new[:3] not in ("000", "666") and new[0] != "9" and new[3:5] != "00" and new[5:] != "0000":
+                return _refill(value, new, r"\d")
     if kind == "ip":
-        a, b, c, d = map(int, value.split("."))
-        if a == 10:
-            n = permute(key, "ip10", b << 16 | c << 8 | d, 1 << 24)
-            return f"10.{n >> 16}.{n >> 8 & 255}.{n & 255}"
-        if (a, b) == (192, 168):
-            n = permute(key, "ip192", c << 8 | d, 1 << 16)
-            return f"192.168.{n >> 8}.{n & 255}"
-        n = a << 24 | b << 16 | c << 8 | d
-        while True:  # cycle walking: public addresses stay public
-            n = permute(key, "ip", n, 1 << 32)
-            if n >> 24 != 10 and n >> 16 != 192 << 8 | 168:
-                return f"{n >> 24}.{n >> 16 & 255}.{n >> 8 & 255}.{n & 255}"
+        return _address(key, value)
+    if kind == "ip6":
+        made = _address(key, value)
+        return made.upper() if value.upper() == value and not value.isdigit() and re.search("[A-F]", value) else made
     if kind == "iban":
         plain = value.replace(" ", "")
         body = plain[4:]
@@ -189,8 +235,7 @@ def name_word(key: bytes, kind: str, word: str, attempt: int = 0) -> str:
     what, script, *sex = kind.split(":")
     names = GIVEN[script, sex[0]] if what == "given" else FAMILY[script]
     if attempt == 0 and word in names:  # a permutation within the list
-        i = permute(key, kind, names.index(word), len(names))
-        return names[i] if names[i] != word else names[(i + 1) % len(names)]
+        return names[derange(key, kind, names.index(word), len(names))]
     parts = 2 if attempt < 3 else attempt
     drawn = (_mac(key, kind, word, attempt, *([i] if i else [])) >> 16 * j for i in range(-(-parts // 15)) for j in range(15))
     return "-".join(names[n % len(names)] for n, _ in zip(drawn, range(parts)))
@@ -217,26 +262,53 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
                 value = value.rstrip(".-")
             at = m.start(kind)
             found.append((at, at + len(value), "token" if kind == "secret" else kind, value))
+    if ":" in text:
+        for m in _IPV6.finditer(text):
+            if m[0].count(":") >= 3 and any(map(str.isdigit, m[0])) and _is_address(m[0]):
+                found.append((m.start(), m.end(), "ip6", m[0]))
     if _NAME_HINT.search(text):
+        named: dict[str, str] = {}
         for m in _NAME.finditer(text):
-            part = "rest" if m["title"] else "full"
+            title, part = m["title"] or (m["loud"] or "").capitalize(), "rest" if m["title"] else "shout" if m["loud"] else "full"
             words = m[part].split(" ")
-            sex = HONORIFICS.get(m["title"] or "", "") or next((_GENDER[w][1] for w in words if w in _GENDER), "m")
+            plain = [canonical("given:", w) for w in words]
+            if title:  # a name ends before a word that begins a sentence
+                words = words[: next((i for i, w in enumerate(plain) if w in NO_NAMES), len(words))]
+            sex = HONORIFICS.get(title, "") or next((_GENDER[w][1] for w in plain if w in _GENDER), "m")
             at = m.start(part)
             for i, w in enumerate(words):
-                given = w in _GENDER if i or not m["title"] else w in _GENDER and len(words) > 1
-                kind = f"given:{_script(w)}:{_GENDER[w][1] if w in _GENDER else sex}" if given else f"family:{_script(w)}"
-                if given or m["title"] or w in _FAMILY or i == len(words) - 1:
+                name = plain[i]
+                given = name in _GENDER and (i > 0 or not title) or title and i == 0 and len(words) > 1
+                kind = f"given:{_script(w)}:{_GENDER[name][1] if name in _GENDER else sex}" if given else f"family:{_script(w)}"
+                if given or title or name in _FAMILY or i == len(words) - 1:
                     found.append((at, at + len(w), kind, w))
+                    named.setdefault(name, kind)
                 at += len(w) + 1
-        found.sort()
-        found = [x for i, x in enumerate(found) if not any(y[0] < x[1] and x[0] < y[1] for y in found[max(0, i - 8) : i])]
-    return found
+        if named:  # the same words elsewhere in the text
+            again = re.compile(rf"(?<![\w@.-])(?:{'|'.join(re.escape(x) for n in sorted(named, key=len, reverse=True) for x in dict.fromkeys((n, n.upper())))})(?![\w@-])")
+            found += [(m.start(), m.end(), named[canonical("given:", m[0])], m[0]) for m in again.finditer(text)]
+    found = sorted(dict.fromkeys(found))
+    out: list[tuple[int, int, str, str]] = []
+    for x in found:  # the first of overlapping ones stays
+        if not out or x[0] >= out[-1][1]:
+            out.append(x)
+    return out
+
+
+def _is_address(text: str) -> bool:
+    try:
+        ipaddress.ip_address(text)
+    except ValueError:
+        return False
+    return True
 
 
 def replacement(key: bytes, kind: str, value: str, attempts: dict[tuple[str, str], int]) -> str:
     n = attempts.get((kind, canonical(kind, value)), 0) if attempts else 0
-    return name_word(key, kind, value, n) if ":" in kind else surrogate(key, kind, value, n)
+    if ":" not in kind:
+        return surrogate(key, kind, value, n)
+    made = name_word(key, kind, canonical(kind, value), n)
+    return made.upper() if value.isupper() else made
 
 
 def redact(key: bytes, text: str, attempts: dict[tuple[str, str], int]) -> tuple[str, int, set[tuple[str, str]]]:
@@ -262,7 +334,7 @@ def entities(docs: DataFrame) -> DataFrame:
                 kinds, values = zip(*sorted(seen), strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(values)], ["kind", "value"])
 
-    return docs.select("text").mapInArrow(run, "kind string, value string").distinct()
+    return docs.select("text").mapInArrow(lean(run), "kind string, value string").distinct()
 
 
 def collisions(found: DataFrame, key: bytes) -> DataFrame | None:
@@ -317,18 +389,18 @@ def surrogates(docs: DataFrame, key: str) -> DataFrame:
 
             return pd.DataFrame([result(t, attempts) for t in texts], columns=["text", "n", "distinct"])
 
-        out = docs.withColumn("pii_out", apply("text"))
+        out = docs.withColumn("__pii_out", apply("text"))
     else:
-        keyed = docs.withColumn("pii_row", F.xxhash64("text"))
+        keyed = docs.withColumn("__pii_row", F.xxhash64("text"))
 
         def needs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in dicts(batches):
-                rows = [(r, k, canonical(k, v)) for r, t in zip(b["pii_row"], b["text"], strict=True) if t for *_, k, v in find(t) if k.startswith(DRAWN)]
+                rows = [(r, k, canonical(k, v)) for r, t in zip(b["__pii_row"], b["text"], strict=True) if t for *_, k, v in find(t) if k.startswith(DRAWN)]
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*set(rows), strict=True)], ["pii_row", "kind", "value"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*set(rows), strict=True)], ["__pii_row", "kind", "value"])
 
-        pairs = keyed.select("pii_row", "text").mapInArrow(needs, "pii_row long, kind string, value string").distinct().join(again, ["kind", "value"])
-        maps = pairs.groupBy("pii_row").agg(F.collect_list(F.struct("kind", "value", "attempt")).alias("pii_map"))  # a text's own entities only
+        pairs = keyed.select("__pii_row", "text").mapInArrow(lean(needs), "__pii_row long, kind string, value string").distinct().join(again, ["kind", "value"])
+        maps = pairs.groupBy("__pii_row").agg(F.collect_list(F.struct("kind", "value", "attempt")).alias("__pii_map"))  # a text's own entities only
 
         @F.pandas_udf("text string, n int, distinct int")
         def apply_with(texts, moved):  # noqa: ANN001
@@ -336,9 +408,17 @@ def surrogates(docs: DataFrame, key: str) -> DataFrame:
 
             return pd.DataFrame([result(t, {} if m is None else {(e["kind"], e["value"]): e["attempt"] for e in m}) for t, m in zip(texts, moved, strict=True)], columns=["text", "n", "distinct"])
 
-        out = keyed.join(maps, "pii_row", "left").withColumn("pii_out", apply_with("text", "pii_map")).drop("pii_row", "pii_map")
-    return out.withColumn("text", F.col("pii_out.text")).withColumns({"pii_entities": F.col("pii_out.n"), "pii_distinct": F.col("pii_out.distinct")}).drop("pii_out")
+        out = keyed.join(maps, "__pii_row", "left").withColumn("__pii_out", apply_with("text", "__pii_map")).drop("__pii_row", "__pii_map")
+    return out.withColumn("text", F.col("__pii_out.text")).withColumns({"pii_entities": F.col("__pii_out.n"), "pii_distinct": F.col("__pii_out.distinct")}).drop("__pii_out")
+
+
+#: The key of the registered queries where the session names none in ``KEY_SETTING``; a real corpus needs a secret one.
+DEMO_KEY, KEY_SETTING = "fathomline-demo-key", "spark.fathomline.pii.key"
+
+
+def session_key(spark: SparkSession) -> str:
+    return spark.conf.get(KEY_SETTING, DEMO_KEY)
 
 
-def query(docs: DataFrame, key: str = "fathomline-demo-key") -> DataFrame:
-    return surrogates(docs.select("doc_id", "text"), key).select("doc_id", "text", "pii_entities", "pii_distinct")
+def query(docs: DataFrame, key: str | None = None) -> DataFrame:
+    return surrogates(docs.select("doc_id", "text"), key or session_key(docs.sparkSession)).select("doc_id", "text", "pii_entities", "pii_distinct")
