@@ -16,7 +16,6 @@ from fathomline.llm import jaccard, mixing, packing, pii, toxicity
 from fathomline.llm.common import staged, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-PII_KEY = "fathomline-demo-key"
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +39,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def replace_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by surrogates; ``n_chars`` counted anew."""
-    out = pii.surrogates(docs.select(*COLUMNS), PII_KEY)
+    out = pii.surrogates(docs.select(*COLUMNS), pii.session_key(spark))
     return out.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars"))).select(*COLUMNS)
 
 
