@@ -61,27 +61,41 @@ def main_day(points: DataFrame) -> int | None:
     return None if top is None else top["day"]
 
 
+def build_day(raw: DataFrame, boundary=None, day: int | None = None) -> tuple[DataFrame, int | None]:  # noqa: ANN001
+    """(trajectories of one day's raw reports, its date key): ``day`` or that of most reports; none without plausible reports."""
+    points = clean(raw, boundary)
+    if day is None:
+        day = main_day(points)
+    built = build(points.where(date_key(F.col("ts")) == F.lit(day))).withColumn("trajectory_sub_id", F.xxhash64("mmsi", "segment", "start_time_id").bitwiseAND(F.lit((1 << 63) - 1)))
+    return simplify(built).withColumn("metres", path_length(F.col("trajectory"))), day
+
+
 def load_day(
     w: Warehouse, raw: DataFrame, partitions: DataFrame | None = None, boundary=None, sizes: tuple[int, ...] = CELL_SIZES, audit: Audit | None = None,  # noqa: ANN001
     day: int | None = None, mids: DataFrame | None = None,
 ) -> Audit:
     """Load the reports of one day, ``day`` or that of most reports; loading it again replaces it. Reports of other days
-    are left out, so nothing but this day is ever replaced. Without plausible reports nothing is written but the audit row.
-
-    ``mids``: country digits (mid, flag_region, flag_state) for the ship dimension."""
+    are left out, so nothing but this day is ever replaced. Without plausible reports nothing is written but the audit row."""
     audit = audit or Audit()
-    points = clean(raw, boundary)
-    if day is None:
-        day = main_day(points)
+    with audit.timed("trajectories"):
+        built, day = build_day(raw, boundary, day)
+        if day is not None:
+            staging = w.path(f"staging_trajectories/{day}")
+            built.write.mode("overwrite").parquet(staging)
+            built = w.spark.read.parquet(staging)
     if day is None:
         audit.append(w.spark, w.path("audit_log"))
         return audit
-    staging = f"staging_trajectories/{day}"
-    with audit.timed("trajectories"):
-        built = build(points.where(date_key(F.col("ts")) == day)).withColumn("trajectory_sub_id", F.xxhash64("mmsi", "segment", "start_time_id").bitwiseAND(F.lit((1 << 63) - 1)))
-        built = simplify(built).withColumn("metres", path_length(F.col("trajectory")))
-        built.write.mode("overwrite").parquet(w.path(staging))
-        built = w.read(staging)
+    return load_trajectories(w, built, day, partitions, sizes, audit, mids)
+
+
+def load_trajectories(
+    w: Warehouse, built: DataFrame, day: int, partitions: DataFrame | None = None, sizes: tuple[int, ...] = CELL_SIZES, audit: Audit | None = None, mids: DataFrame | None = None,
+) -> Audit:
+    """Load a day's trajectories as ``build_day`` makes them, read from a table.
+
+    ``mids``: country digits (mid, flag_region, flag_state) for the ship dimension."""
+    audit = audit or Audit()
     if not built.limit(1).count():
         audit.row["counts"]["fact_trajectory"] = 0
         audit.append(w.spark, w.path("audit_log"))

@@ -14,7 +14,7 @@ from fathomline.operators.heatmap import difference, selected, union_pixels
 
 @dataclass(frozen=True)
 class Window:
-    """A box in projected metres and a range of date keys."""
+    """A box in projected metres and a range of date keys; ``until`` is a time key on the last date."""
 
     xmin: float
     ymin: float
@@ -22,15 +22,16 @@ class Window:
     ymax: float
     start_id: int
     end_id: int
+    until: int = 0
 
     @property
     def box(self) -> tuple[float, float, float, float]:
         return self.xmin, self.ymin, self.xmax, self.ymax
 
     def times(self, upper_inclusive: bool = False) -> Column:
-        at = lambda k: F.to_timestamp(F.lit(str(k)), "yyyyMMdd")
-        lo, hi = F.col("tmin"), F.col("tmax")
-        return (hi >= at(self.start_id)) & ((lo <= at(self.end_id)) if upper_inclusive else (lo < at(self.end_id)))
+        at = lambda k, t: F.to_timestamp(F.lit(f"{k}{t:06d}"), "yyyyMMddHHmmss")
+        lo, hi, end = F.col("tmin"), F.col("tmax"), at(self.end_id, self.until)
+        return (hi >= at(self.start_id, 0)) & ((lo <= end) if upper_inclusive else (lo < end))
 
 
 def ships_of_types(ships: DataFrame, types: DataFrame, names: list[str]) -> DataFrame:

@@ -33,13 +33,16 @@ def write_day_cache(df: DataFrame, folder: str, day: str) -> str:
     return path
 
 
+def finished(spark: SparkSession, folder: str) -> bool:
+    """Whether a Parquet folder was written to its end."""
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/_SUCCESS")
+    return done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done)
+
+
 def read_day(spark: SparkSession, cache: str | None, csv: str) -> tuple[DataFrame, bool]:
     """(frame, cached): the cached trajectories of a day if their folder was written to its end, else its raw reports."""
-    if cache is not None:
-        jvm = spark.sparkContext._jvm
-        done = jvm.org.apache.hadoop.fs.Path(f"{cache.rstrip('/')}/_SUCCESS")
-        if done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
-            return spark.read.parquet(cache), True
+    if cache is not None and finished(spark, cache):
+        return spark.read.parquet(cache), True
     return read_reports(spark, csv), False
 
 

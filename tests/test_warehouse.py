@@ -265,3 +265,41 @@ def test_points_pass_once(spark):
     assert plan.count("FlatMapGroupsInPandas") == 1 and "Join" not in plan
     built = built.withColumns({"ship_id": F.lit(1), "nav_status_id": F.lit(1)})
     assert "Join" not in fact_cell(built, 1000, ("mmsi", "day"))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_command_line(spark, tmp_path, monkeypatch):
+    from fathomline import __main__ as cli
+
+    (tmp_path / "ais").mkdir()
+    reports = raw(spark, sailing(0, 40)).coalesce(1).toPandas()
+    text = reports.to_csv(index=False)
+    with zipfile.ZipFile(tmp_path / "day.zip", "w") as z:
+        z.writestr("aisdk-2021-03-04.csv", text)
+    pages = {"http://host/": b'<a href="aisdk-2021-03-04.zip">x</a>', "http://host/aisdk-2021-03-04.zip": (tmp_path / "day.zip").read_bytes()}
+    for name, value in {"AIS_PATH": tmp_path / "ais", "AIS_URL": "http://host/", "WAREHOUSE": tmp_path / "wh", "CELL_SIZES": "5000 50", "DROP_ON_INIT": "true"}.items():
+        monkeypatch.setenv(f"FATHOMLINE_{name}", str(value))
+    day = ["--from_date", "2021-03-04", "--to_date", "2021-03-04"]
+    cli.main(["--ensure_files", *day], spark, pages.__getitem__)
+    assert (tmp_path / "ais/aisdk-2021-03-04.csv").exists()
+    cli.main(["--init"], spark)
+    cli.main(["--clean_standalone", *day], spark, pages.__getitem__)
+    (tmp_path / "ais/aisdk-2021-03-04.csv").unlink()  # from here on the kept trajectories serve
+    cli.main(["--load", *day], spark, {}.__getitem__)
+    w = load.Warehouse(spark, str(tmp_path / "wh"))
+    assert w.read("fact_trajectory").count() == 1 and w.read("dim_date").count() > 20000 and w.read("audit_log").count() == 1
+    with pytest.raises(SystemExit):
+        cli.main(["--load"], spark)
+
+
+def test_suites(loaded):
+    from fathomline.plans import suites
+
+    cell, heat, lazy = suites.CellSuite.over(loaded), suites.HeatmapSuite.over(loaded), suites.LazySuite.over(loaded, 1000)
+    names = lambda s, p: [n for n in s.configurations if n.startswith(p)]
+    assert (len(names(cell, "cell_")), len(names(cell, "trajectory_")), len(heat.configurations), len(lazy.configurations)) == (27, 12, 72, 12)
+    assert set(benchmark.REGISTRY) >= {"CELL", "HEATMAP", "LAZY"}
+    for suite, name in ((cell, "cell_1000m_1_day_large_area"), (cell, "trajectory_90_day_large_area"), (heat, "heatmap_1_year_low_resolution_complete"), (heat, "difference_1_day_very_low_resolution_aarhus"), (lazy, "lazy_1_day_near_heligoland"), (lazy, "stored_1_week_near_heligoland")):
+        assert suite.query(**suite.configurations[name]).count() == 0  # the loaded day is in March, its ships carry passengers
+    window, size = suites.random_window(random.Random(3))
+    assert size in (50, 200, 1000, 5000) and window.start_id <= window.end_id and window.xmin < window.xmax
+    suites.warm_up(loaded, (5000, 1000))(random.Random(1)).count()
