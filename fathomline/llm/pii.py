@@ -272,6 +272,8 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
             title, part = m["title"] or (m["loud"] or "").capitalize(), "rest" if m["title"] else "shout" if m["loud"] else "full"
             words = m[part].split(" ")
             plain = [canonical("given:", w) for w in words]
+            if part == "shout" and not any(w in _GENDER or w in _FAMILY for w in plain):
+                continue  # "MS OFFICE", "DR UNIT": capitals alone make no name
             if title:  # a name ends before a word that begins a sentence
                 words = words[: next((i for i, w in enumerate(plain) if w in NO_NAMES), len(words))]
             sex = HONORIFICS.get(title, "") or next((_GENDER[w][1] for w in plain if w in _GENDER), "m")

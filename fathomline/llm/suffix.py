@@ -329,15 +329,27 @@ def repeats(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFra
     return whole.unionByName(parts).unionByName(across)
 
 
+def _named(base: DataFrame, shared: list[int]) -> tuple[DataFrame, DataFrame]:
+    """Texts with their id, 64 bits, and one row per id; ``shared``: ids that two texts have, so that a second hash takes their place."""
+    rid = F.xxhash64("data")
+    if shared:
+        rid = F.when(rid.isin(shared), F.xxhash64(F.sha2("data", 256))).otherwise(rid)
+    texts = base.withColumn("rid", rid)
+    return texts, staged(texts.groupBy("rid").agg(F.count("*").alias("times"), F.min(F.sha2("data", 256)).alias("x"), F.max(F.sha2("data", 256)).alias("y")), "suffix-texts")
+
+
+def _shared_names(known: DataFrame) -> list[int]:
+    """Ids that two texts have: of 10^10 texts, some three."""
+    return [r["rid"] for r in known.where("x <> y").select("rid").collect()]
+
+
 def deduplicated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text_too: bool = False) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, ``kept``, the remaining bytes."""
     small_batches(docs.sparkSession)
     base = docs.select("doc_id", text_or_empty().cast("binary").alias("data"))
-    for seed in range(8):  # another seed only if 64 bits did not tell two texts apart
-        texts = base.withColumn("rid", F.xxhash64(F.lit(seed), "data"))
-        known = staged(texts.groupBy("rid").agg(F.count("*").alias("times"), F.min(F.sha2("data", 256)).alias("x"), F.max(F.sha2("data", 256)).alias("y")), "suffix-texts")
-        if not known.where("x <> y").limit(1).count():
-            break
+    texts, known = _named(base, [])
+    if shared := _shared_names(known):
+        texts, known = _named(base, shared)
     twice = known.where("times > 1").select("rid", F.lit(0).alias("lo"), F.lit((1 << 31) - 1).alias("hi"))
     spans = repeats(texts, length, gram).unionByName(twice).groupBy("rid").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     spans = staged(spans, "suffix-spans")  # a text's own spans

@@ -135,6 +135,7 @@ def test_names_are_one_person_throughout_a_text():
     assert m and m[2] == m[3] == m[7] and m[6] == m[2].upper() and m[1] == m[4] and "Weber" not in out and n == 7 and len(seen) == 3
     out, n, _ = pii.redact(b"k", "Ms Priya O'Brien-Smith came. Dr. Stone However stayed. Patel", {})
     assert n == 3 and "O'Brien" not in out and "Priya" not in out and "However stayed. Patel" in out
+    assert pii.find("MS OFFICE and DR UNIT in MR SCANS") == []
     assert [k for *_, k, _ in pii.find("Ms Priya Patel")] == ["given:latin:f", "family:latin"]
 
 
@@ -382,6 +383,12 @@ def test_suffix_dedup(spark, docs, rows, group, monkeypatch):
     assert sum(k[1][1] for k in want) > 1000
 
 
+def test_suffix_dedup_with_shared_names(spark, docs, rows, monkeypatch):
+    monkeypatch.setattr(suffix, "_shared_names", lambda known: sorted(r.rid for r in known.select("rid").collect())[::2])
+    want = Counter(zip((r[0] for r in rows), removed([(r[1] or "").encode() for r in rows]), strict=True))
+    assert Counter((r.doc_id, (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)) for r in suffix.query(docs).collect()) == want
+
+
 def test_suffix_dedup_gives_the_text(spark):
     same = "".join(random.Random(4).choice("abcdef") for _ in range(250))
     df = spark.createDataFrame([(1, "left " + same + " right"), (2, same + "!"), (3, "y")], "doc_id long, text string")
