@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fathomline.functions.geo import inside_polygon, project
@@ -19,15 +21,27 @@ def parse(raw: DataFrame) -> DataFrame:
     )
 
 
-def plausible():
-    """Rows of plausible ships; rows without width or length are not."""
-    c = F.col
+@dataclass(frozen=True)
+class Limits:
+    """What a plausible ship stays below (or, for the ship's number, between); numbers of base stations and classes of devices."""
+
+    draught: float = 28.5
+    width: float = 75
+    length: float = 488
+    mmsi: tuple[int, int] = (99999999, 990000000)
+    stations: tuple[int, int] = (111000000, 112000000)
+    classes: tuple[str, ...] = ("Class A", "Class B")
+
+
+def plausible(limits: Limits = Limits(), columns: tuple[str, ...] = ("draught", "width", "length", "mmsi", "mobile_type")) -> Column:
+    """Rows of plausible ships; rows without width or length are not. Plain comparisons, which reach the scan."""
+    draught, width, length, mmsi, kind = map(F.col, columns)
     return (
-        ((c("draught") < 28.5) | c("draught").isNull())
-        & (c("width") < 75) & (c("length") < 488)
-        & (c("mmsi") > 99999999) & (c("mmsi") < 990000000)
-        & ~((c("mmsi") > 111000000) & (c("mmsi") < 112000000))
-        & c("mobile_type").isin("Class A", "Class B")
+        ((draught < limits.draught) | draught.isNull())
+        & (width < limits.width) & (length < limits.length)
+        & (mmsi > limits.mmsi[0]) & (mmsi < limits.mmsi[1])
+        & ~((mmsi > limits.stations[0]) & (mmsi < limits.stations[1]))
+        & kind.isin(*limits.classes)
     )
 
 

@@ -82,11 +82,10 @@ def smart_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE (l_tax < 0.06 OR l_tax IS NULL) AND l_quantity < 45 AND l_discount < 0.09
 AND l_partkey > 10 AND l_partkey < 1900 AND NOT (l_partkey > 110 AND l_partkey < 120) AND l_returnflag IN ('A', 'N')""")
 def clean_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``plausible`` itself, over line items that stand for reports: taxes for draughts and so on, scaled to its limits."""
-    c = F.col
-    ships = {"draught": c("l_tax") * 475, "width": c("l_quantity") / 45 * 75, "length": c("l_discount") / 0.09 * 488, "mmsi": F.when(c("l_partkey").between(111, 119), 111500000).when(c("l_partkey") <= 10, 99999999).when(c("l_partkey") >= 1900, 990000000).otherwise(219000000)}
-    ships["mobile_type"] = F.when(c("l_returnflag").isin("A", "N"), "Class A").otherwise("Base Station")
-    return read(spark, sf_dir, "lineitem").withColumns(ships).where(clean.plausible()).select("l_orderkey", "l_linenumber", "l_quantity")
+    """``plausible`` itself, over line items that stand for reports, with limits of their scale."""
+    limits = clean.Limits(0.06, 45, 0.09, (10, 1900), (110, 120), ("A", "N"))
+    keep = clean.plausible(limits, ("l_tax", "l_quantity", "l_discount", "l_partkey", "l_returnflag"))
+    return read(spark, sf_dir, "lineitem").where(keep).select("l_orderkey", "l_linenumber", "l_quantity")
 
 
 @query("""SELECT p_partkey, CAST(CASE WHEN p_size % 3 = 0 THEN CAST(p_size AS DOUBLE) WHEN p_size % 5 = 0 AND p_size % 7 = 0 THEN -1.0 WHEN p_size % 5 = 0 THEN CAST(p_size % 5 AS DOUBLE)

@@ -203,3 +203,5 @@ def test_direction_and_deltas(spark):
     assert [r[0] for r in df.select(d).collect()] == ["East", "South", "Unknown", "North"]
     v = spark.createDataFrame([([350.0, 10.0, 10.0],), ([5.0],), (None,), ([0.0, 90.0, 350.0],)], "v array<double>")
     assert [r[0] for r in v.select(temporal.circular_delta(F.col("v"))).collect()] == [20.0, 0.0, 0.0, 190.0]
+    assert [r[0] for r in v.select(temporal.delta(F.col("v"))).collect()] == [340.0, 0.0, 0.0, 350.0]
+    assert [r[0] for r in v.select(temporal.delta(F.col("v"), absolute=False)).collect()] == [-340.0, 0.0, 0.0, 350.0]
