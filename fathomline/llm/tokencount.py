@@ -1,15 +1,18 @@
 """Edit-aware token counts.
 
 A document's text is kept as a segment tree over runs of pre-tokens. A run ends only where the pre-tokeniser must
-start a new pre-token whatever stands around: at a single space between two characters that are not white space.
+start a new pre-token whatever stands around: at a single space between two characters that are not white space, and
+between a letter or digit and a line end or punctuation, so that Chinese, Japanese and code without spaces are cut too.
 Tokens of the whole are therefore the sum over runs. Leaves hold (characters, tokens), inner nodes their sums.
 
+``trees`` encodes documents once; its table is kept. ``edited`` applies edits to kept trees and gives them back.
 An edit replaces characters [a, b) by new text. Only the runs it touches, and one run on either side as
-boundary context, are cut and encoded anew; the leaves of the others are reused, and the sums above changed leaves
-are updated (leaves are spliced in blocks, so the block sums on the path are what changes).
+boundary context, are cut and encoded anew; the leaves of the others are reused. Above as many leaves as before only the
+sums on the path change; where the number of leaves changes, the sums to the right of the edit are added up again.
 
-Edge cases: null and empty texts have 0 tokens and a tree without leaves; a text without a safe boundary is
-one run, however long; repeated rows get equal counts; an empty table gives no rows; other columns are ignored.
+Edge cases: null and empty texts have 0 tokens and a tree without leaves; a text without a safe boundary (one word,
+however long) is one run; very long texts are one tree; repeated rows get equal counts; an empty table gives no rows;
+other columns are ignored. An edit beyond the end of a text appends to it.
 """
 
 from __future__ import annotations
@@ -20,13 +23,14 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from fathomline.llm.common import dicts, small_batches, text_or_empty
+from fathomline.llm.common import dicts, small_batches, staged, text_or_empty
 from fathomline.llm.tokens import encoder
 
 #: Characters after which a run ends at the next safe boundary.
 RUN_CHARS = 512
 FANOUT = 16
-SAFE = re.compile(r"(?<=\S) (?=\S)")
+#: Letters and digits are named one by one, as Unicode tables of different libraries may differ.
+SAFE = re.compile(r"(?<=\S) (?=\S)|(?<=[A-Za-z0-9\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5])(?=[\n!-&(-/:-@\[-`{-~\u3001\u3002\uff01\uff0c\uff1a\uff1b\uff1f])")
 
 
 def cut(text: str, run_chars: int = RUN_CHARS) -> list[str]:
@@ -48,21 +52,23 @@ class SegmentTree:
         self.text, self.count, self.run_chars = text, count, run_chars
         self.encoded_chars = 0
         self.levels = [leaves if leaves is not None else [self._leaf(r) for r in cut(text, run_chars)]]
-        self._sum_from(0)
+        self._sums(0)
 
     def _leaf(self, run: str) -> tuple[int, int]:
         self.encoded_chars += len(run)
         return len(run), self.count(run)
 
-    def _sum_from(self, first: int) -> None:
-        """Bring the sums above leaves ``first`` and later up to date."""
+    def _sums(self, first: int, last: int | None = None) -> None:
+        """Bring the sums above leaves ``first`` up to, not with, ``last`` (the end) up to date."""
         k = 0
         while len(self.levels[k]) > 1:
             below, first = self.levels[k], first // FANOUT
-            above = self.levels[k + 1][:first] if k + 1 < len(self.levels) else []
-            first = len(above)
-            above += [(sum(x for x, _ in block), sum(y for _, y in block)) for block in (below[i : i + FANOUT] for i in range(first * FANOUT, len(below), FANOUT))]
-            self.levels[k + 1 : k + 2] = [above]
+            last = None if last is None else -(-last // FANOUT)
+            if k + 1 == len(self.levels):
+                self.levels.append([])
+                first, last = 0, None
+            blocks = range(first * FANOUT, len(below) if last is None else last * FANOUT, FANOUT)
+            self.levels[k + 1][first:last] = [(sum(x for x, _ in block), sum(y for _, y in block)) for block in (below[i : i + FANOUT] for i in blocks)]
             k += 1
         del self.levels[k + 1 :]
 
@@ -88,7 +94,7 @@ class SegmentTree:
         self.text = text = old[:a] + new + old[b:]
         if not leaves:
             self.levels[0] = [self._leaf(r) for r in cut(text, self.run_chars)]
-            self._sum_from(0)
+            self._sums(0)
             return
         i, start = self.leaf_at(max(0, a - 1))
         if i:  # one more run as context: the boundary before it stays safe, as it lies a run away from the edit
@@ -102,32 +108,60 @@ class SegmentTree:
             j += 1
         # The boundary at ``end`` is safe only for the characters around it, which the edit leaves alone.
         part = text[start : end + len(text) - len(old)]
-        leaves[i:j] = [self._leaf(r) for r in cut(part, self.run_chars)]
-        self._sum_from(i)
+        made = [self._leaf(r) for r in cut(part, self.run_chars)]
+        leaves[i:j] = made
+        self._sums(i, j if len(made) == j - i else None)
 
 
-def edited_counts(pairs: DataFrame) -> DataFrame:
-    """Of rows (doc_id, text, a, b, new): tokens before and after the edit, characters encoded for each."""
+TREE = "doc_id long, text string, chars array<int>, tokens array<int>"
+_TREE = [("doc_id", pa.int64()), ("text", pa.string()), ("chars", pa.list_(pa.int32())), ("tokens", pa.list_(pa.int32()))]
+COUNTS = "n_tokens long, n_runs long, edited_tokens long, encoded_chars long, reencoded_chars long"
+_COUNTS = [(c.split()[0], pa.int64()) for c in COUNTS.split(", ")]
+
+
+def _batch(rows: list[tuple], fields: list[tuple[str, pa.DataType]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), fields, strict=True)], [n for n, _ in fields])
+
+
+def trees(docs: DataFrame) -> DataFrame:
+    """Rows (doc_id, text, chars, tokens): the text and its tree's leaves, as a table in the shared folder."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = encoder().count
         for x in dicts(batches):
             rows = []
-            for doc, text, a, b, new in zip(x["doc_id"], x["text"], x["a"], x["b"], x["new"], strict=True):
-                tree = SegmentTree(text, count)
-                before, encoded, runs = tree.tokens, tree.encoded_chars, len(tree.levels[0])
+            for doc, text in zip(x["doc_id"], x["text"], strict=True):
+                runs = cut(text)
+                rows.append((doc, text, [len(r) for r in runs], [count(r) for r in runs]))
+            yield _batch(rows, _TREE)
+
+    small_batches(docs.sparkSession)
+    return staged(docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(run, TREE), "token-trees")
+
+
+def edited(rows: DataFrame, keep: bool = True) -> DataFrame:
+    """Of kept trees with an edit each (a, b, new): tokens and runs before, tokens after, characters encoded for either, and,
+    if ``keep``, the edited trees in the form of ``trees``. Only what the edit touches is encoded."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = encoder().count
+        for x in dicts(batches):
+            out = []
+            for doc, text, chars, tokens, a, b, new in zip(*(x[c] for c in ("doc_id", "text", "chars", "tokens", "a", "b", "new")), strict=True):
+                tree = SegmentTree(text, count, leaves=list(zip(chars, tokens, strict=True)))
+                before, runs = tree.tokens, len(chars)
                 tree.edit(a, b, new)
-                rows.append((doc, before, runs, tree.tokens, encoded, tree.encoded_chars - encoded))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], ["doc_id", "n_tokens", "n_runs", "edited_tokens", "encoded_chars", "reencoded_chars"])
+                after = (tree.text, [n for n, _ in tree.levels[0]], [n for _, n in tree.levels[0]]) if keep else ()
+                out.append((doc, *after, before, runs, tree.tokens, sum(chars), tree.encoded_chars))
+            yield _batch(out, (_TREE if keep else _TREE[:1]) + _COUNTS)
 
-    small_batches(pairs.sparkSession)
-    return pairs.select("doc_id", "text", "a", "b", "new").mapInArrow(run, "doc_id long, n_tokens long, n_runs long, edited_tokens long, encoded_chars long, reencoded_chars long")
+    small_batches(rows.sparkSession)
+    schema = f"{TREE if keep else 'doc_id long'}, {COUNTS}"
+    return rows.select("doc_id", "text", "chars", "tokens", "a", "b", "new").mapInArrow(run, schema)
 
 
 def query(docs: DataFrame) -> DataFrame:
-    """Each whole text, and the text with its middle character range [n/2, n/2 + 16) replaced by its own first 24 characters."""
-    text = text_or_empty()
-    pairs = docs.select("doc_id", text.alias("text")).selectExpr(
-        "doc_id", "text", "length(text) div 2 as a", "least(length(text) div 2 + 16, length(text)) as b", "left(text, 24) as new"
-    )
-    return edited_counts(pairs)
+    """Each whole text, and the text with its middle character range [n/2, n/2 + 16) replaced by its own first 24 characters:
+    the trees are kept first, then edited."""
+    edits = trees(docs).selectExpr("*", "length(text) div 2 as a", "least(length(text) div 2 + 16, length(text)) as b", "left(text, 24) as new")
+    return edited(edits, keep=False)

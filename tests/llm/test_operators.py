@@ -199,7 +199,7 @@ def test_token_tree_edits():
 
     count, rng = encoder().count, random.Random(2)
     for trial in range(150):
-        text = "".join(rng.choice(["ab", " ", "  ", "\n", "don't ", "12", "é", "漢", "x" * 30, ". "]) for _ in range(rng.randint(0, 150)))
+        text = "".join(rng.choice(["ab", " ", "  ", "\n", "don't ", "12", "é", "漢", "日本。", "a(b);", "カ\n", "x" * 30, ". "]) for _ in range(rng.randint(0, 150)))
         tree = tokencount.SegmentTree(text, count, run_chars=rng.choice([1, 8, 40]))
         assert tree.tokens == count(text)
         for _ in range(4):
@@ -209,6 +209,7 @@ def test_token_tree_edits():
             assert tree.tokens == count(tree.text), (trial, tree.text)
             level = tree.levels[0]
             assert sum(n for n, _ in level) == len(tree.text)
+            assert tree.levels == tokencount.SegmentTree(tree.text, count, leaves=list(level)).levels
 
 
 def test_token_edit_reuses_runs():
@@ -233,6 +234,31 @@ def test_token_counts(spark, docs, rows):
     assert got == want
 
 
+def test_texts_without_spaces_are_cut():
+    from fathomline.llm.tokens import encoder
+
+    for text in ("これは長い文章です。" * 400, "f(x1,y2);" * 400, "短い\n" * 900):
+        tree = tokencount.SegmentTree(text, encoder().count)
+        whole = tree.encoded_chars
+        assert tree.tokens == encoder().count(text) and len(tree.levels[0]) > 4
+        tree.edit(1500, 1503, "新しい")
+        assert tree.tokens == encoder().count(tree.text) and tree.encoded_chars - whole < 4 * tokencount.RUN_CHARS
+
+
+def test_kept_trees_take_edit_after_edit(spark):
+    from fathomline.llm.tokens import encoder
+
+    texts = [(1, "some words and more " * 300), (2, None), (3, "日本語。" * 500), (4, "tail")]
+    kept = tokencount.trees(spark.createDataFrame(texts, "doc_id long, text string").withColumn("tokens", F.lit(7)))
+    want = {i: t or "" for i, t in texts}
+    for a, b, new in ((0, 3, "x"), (700, 2000, " two\n"), (10_000, 10_000, "end")):
+        rows = tokencount.edited(kept.selectExpr("*", f"least({a}, length(text)) as a", f"least({b}, length(text)) as b", f"'{new}' as new")).collect()
+        want = {i: t[:a] + new + t[b:] for i, t in want.items()}
+        assert {r.doc_id: (r.text, r.edited_tokens, sum(r.tokens)) for r in rows} == {i: (t, *[encoder().count(t)] * 2) for i, t in want.items()}
+        assert all(r.reencoded_chars < 5 * tokencount.RUN_CHARS for r in rows)
+        kept = spark.createDataFrame([(r.doc_id, r.text, r.chars, r.tokens) for r in rows], tokencount.TREE)
+
+
 def test_ids_are_those_of_tokenizers():
     import public_tokenizers
     from tokenizers import Tokenizer
