@@ -2,12 +2,16 @@
 
 Writer: each task packs its records, in files of about ``ARCHIVE_BYTES`` of payload, into a ZIP with two stored
 members, ``archive/data.warc`` and ``indexes/index.cdxj`` (one JSON line per record: page, offset and length in the
-WARC, digest). Files go through ``pyarrow.fs`` into the shared folder under names no other attempt uses; only
+WARC, digest). Files go through ``pyarrow.fs`` into the shared folder (names of Hadoop's object-store connectors, such as s3a,
+are translated) under names no other attempt uses; only
 those named in the manifest (a table in the shared folder) count, so lost executors and repeated tasks do no harm.
 
 Reader: from the end of the file it finds the end-of-central-directory record, the ZIP64 locator and record where
-sizes ask for them, and the central directory; then the stored members' data offsets; then it reads the index and
-each record's byte range. Nothing is extracted. Compressed members are refused with ``ValueError``.
+sizes ask for them, and the central directory; then the stored members' data offsets; then it reads the indexes and
+each record's byte range. A package may hold several archives and indexes (``archive/*.warc``, ``indexes/*.cdxj``): a line that
+names its archive (``filename``) is read from that one, others from the only one. Nothing is extracted. Compressed
+members, and lines that name no archive where there are several, are refused with ``ValueError``. Very long texts are one
+record each, held whole by the task that writes or reads them.
 
 Records of equal payloads of at least ``REVISIT_BYTES`` bytes: that of the largest page_id is the response, the
 others are revisits of it, without the payload. Edge cases: a null html is an empty payload; a null page_id is
@@ -34,7 +38,8 @@ from fathomline.llm.common import dicts, shared_dir, small_batches, staged
 ARCHIVE_BYTES = 32 << 20
 REVISIT_BYTES = 1000
 DATA, INDEX = "archive/data.warc", "indexes/index.cdxj"
-EMPTY_SHA1 = hashlib.sha1(b"").hexdigest()
+# Scheme names of Hadoop's connectors, by the names of the same stores in pyarrow.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
 
 
 # -- records
@@ -124,11 +129,17 @@ def directory(size: int, read: Callable[[int, int], bytes]) -> dict[str, tuple[i
     return found
 
 
-def open_package(path: str):
-    """An open file of a package in the shared folder, through the file system its URI names."""
+def file_system(path: str):
+    """(file system, path in it) of a URI of the shared folder."""
     import pyarrow.fs
 
-    fs, inner = pyarrow.fs.FileSystem.from_uri(path)
+    scheme, found, rest = path.partition("://")
+    return pyarrow.fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}://{rest}" if found else path)
+
+
+def open_package(path: str):
+    """An open file of a package in the shared folder, through the file system its URI names."""
+    fs, inner = file_system(path)
     return fs.open_input_file(inner)
 
 
@@ -138,15 +149,22 @@ def range_records(path: str) -> Iterator[tuple[dict, dict[str, str], bytes]]:
         read = lambda offset, length: f.read_at(length, offset)
         members = directory(f.size(), read)
         archives = [n for n in members if n.startswith("archive/") and n.endswith(".warc")]
-        if len(archives) != 1 or INDEX not in members:
-            raise ValueError(f"{path}: one archive and {INDEX} are expected, found {sorted(members)}")
-        for name in (archives[0], INDEX):
+        indexes = sorted(n for n in members if n.startswith("indexes/") and n.endswith(".cdxj"))
+        if not archives or not indexes:
+            raise ValueError(f"{path}: an archive and an index are expected, found {sorted(members)}")
+        for name in (*archives, *indexes):
             if members[name][2] != zipfile.ZIP_STORED:
                 raise ValueError(f"{path}: {name} is compressed; only stored members can be range-read")
-        base = members[archives[0]][0]
-        for line in read(*members[INDEX][:2]).decode().splitlines():
-            entry = json.loads(line)
-            yield entry, *parse_warc(read(base + entry["offset"], entry["length"]))
+        for name in indexes:
+            for line in read(*members[name][:2]).decode().splitlines():
+                entry = json.loads(line)
+                archive = f"archive/{entry['filename']}" if "filename" in entry else archives[0]
+                if archive not in archives or ("filename" not in entry and len(archives) > 1):
+                    raise ValueError(f"{path}: {name} has a line that names none of {sorted(archives)}")
+                base, size, _ = members[archive]
+                if entry["offset"] + entry["length"] > size:
+                    raise ValueError(f"{path}: {name} has a line that leaves {archive}")
+                yield entry, *parse_warc(read(base + entry["offset"], entry["length"]))
 
 
 def write_packages(records: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
@@ -154,13 +172,11 @@ def write_packages(records: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> Da
     folder = f"{shared_dir(records.sparkSession)}/warc-{uuid.uuid4().hex}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.fs
-
         held, size = [], 0
 
         def flush() -> pa.RecordBatch:
             path = f"{folder}/{uuid.uuid4().hex}.wacz"
-            fs, inner = pyarrow.fs.FileSystem.from_uri(path)
+            fs, inner = file_system(path)
             fs.create_dir(inner.rpartition("/")[0], recursive=True)
             data = zip_package(held)
             with fs.open_output_stream(inner) as f:

@@ -687,3 +687,27 @@ def test_zip_directories():
         warczip.directory(5, lambda at, n: b"hello"[at : at + n])
     with pytest.raises(ValueError):
         warczip.parse_warc(b"WARC/1.1\r\nContent-Length: 9\r\n\r\nabc\r\n\r\n")
+
+
+def test_packages_of_several_archives(tmp_path):
+    import json
+    import zipfile
+
+    records = {n: warczip.warc_record(n, "u", "response", None, b"body %d" % n, hashlib.sha1(b"body %d" % n).hexdigest(), 6) for n in range(4)}
+    line = lambda n, at, **more: json.dumps({"page": n, "offset": at, "length": len(records[n]), **more})
+
+    def package(name: str, indexes: list[list[str]]) -> str:
+        with zipfile.ZipFile(tmp_path / name, "w", zipfile.ZIP_STORED) as z:
+            z.writestr("archive/a.warc", records[0] + records[1])
+            z.writestr("archive/b.warc", records[2] + records[3])
+            for k, lines in enumerate(indexes):
+                z.writestr(f"indexes/{k}.cdxj", "\n".join(lines))
+        return f"file://{tmp_path / name}"
+
+    one, three = len(records[0]), len(records[2])
+    good = package("good", [[line(1, one, filename="a.warc"), line(2, 0, filename="b.warc")], [line(3, three, filename="b.warc"), line(0, 0, filename="a.warc")]])
+    assert [(e["page"], payload) for e, _, payload in warczip.range_records(good)] == [(n, b"body %d" % n) for n in (1, 2, 3, 0)]
+    for lines in ([line(0, 0)], [line(0, 0, filename="c.warc")], [line(0, 5 * one, filename="a.warc")]):
+        with pytest.raises(ValueError, match="has a line that"):
+            list(warczip.range_records(package("bad", [lines])))
+
