@@ -215,9 +215,22 @@ def path_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrays(spark, sf_dir).select("user_id", "segment", F.round(geo.path_length(F.col("trajectory")), 4).alias("metres"))
 
 
-@query()
+@query(f"""WITH RECURSIVE {SEG},
+p AS MATERIALIZED (SELECT user_id, segment, row_number() OVER (PARTITION BY user_id, segment ORDER BY ts, x, y) AS i, CAST(epoch_us(ts) * 1000 AS DOUBLE) / 1e9 AS t, x, y FROM seg),
+chord AS (
+  SELECT user_id, segment, min(i) AS a, max(i) AS b FROM p GROUP BY 1, 2
+  UNION ALL
+  SELECT user_id, segment, unnest([a, far]) AS a, unnest([far, b]) AS b FROM (
+    SELECT user_id, segment, a, b, first(i ORDER BY d DESC, i) AS far, max(d) AS most FROM (
+      SELECT c.user_id, c.segment, c.a, c.b, m.i, (m.t - f.t) / (CASE WHEN l.t = f.t THEN 1 ELSE l.t - f.t END) AS u,
+             sqrt((m.x - f.x - u * (l.x - f.x)) ** 2 + (m.y - f.y - u * (l.y - f.y)) ** 2) AS d
+      FROM chord c JOIN p f ON f.user_id = c.user_id AND f.segment = c.segment AND f.i = c.a JOIN p l ON l.user_id = c.user_id AND l.segment = c.segment AND l.i = c.b
+      JOIN p m ON m.user_id = c.user_id AND m.segment = c.segment AND m.i > c.a AND m.i < c.b) GROUP BY user_id, segment, a, b)
+  WHERE most > 10000.0),
+ends AS (SELECT user_id, segment, a AS i FROM chord UNION SELECT user_id, segment, b FROM chord)
+SELECT n.user_id, n.segment, n.points, k.kept FROM (SELECT user_id, segment, CAST(count(*) AS INTEGER) AS points FROM p GROUP BY 1, 2) n
+JOIN (SELECT user_id, segment, CAST(count(*) AS INTEGER) AS kept FROM ends GROUP BY 1, 2) k ON n.user_id = k.user_id AND n.segment = k.segment""")
 def simplified_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Douglas-Peucker is recursive on each array: no SQL."""
     t = trajectory.simplify(arrays(spark, sf_dir).withColumn("points", F.size("trajectory")), metres=10000.0)
     return t.select("user_id", "segment", "points", F.size("trajectory").alias("kept"))
 

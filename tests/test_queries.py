@@ -15,6 +15,17 @@ def test_query_without_sql_gives_rows(name, spark, sf):
     assert proxies.QUERIES[name](spark, sf).count() > 0
 
 
+def test_kd_tree_leaves_hold_what_lies_in_them(spark, sf):
+    leaves = proxies.kd_tree_leaves(spark, sf).collect()
+    tiles = [(int(r.x // 5000), int(r.y // 5000)) for r in proxies.points(spark, sf).select("x", "y").collect()]
+    inside = [(x, y) for x, y in tiles if 0 <= x < 80 and 0 <= y < 20]
+    holds = lambda q, x, y: q.xmin <= x * 5000 < q.xmax and q.ymin <= y * 5000 < q.ymax
+    assert len(leaves) == 16 and all(q.points == sum(holds(q, x, y) for x, y in inside) for q in leaves)
+    assert all(sum(holds(q, x, y) for q in leaves) == 1 for x in range(80) for y in range(20))
+    # The fullest are cut first.
+    assert max(q.points for q in leaves if q.xmax - q.xmin > 5000 or q.ymax - q.ymin > 5000) <= len(inside) // 4
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
