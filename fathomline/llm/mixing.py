@@ -7,11 +7,12 @@ target asks for more than there is. Inverting the integral turns a document's pl
 training position; documents are finally range-sorted by position.
 
 Places on the line are prefix sums. They are computed in two levels, (source, leading md5 digits) and within
-those, so that a source with most of the rows is spread over 16 ** BUCKET_DIGITS groups.
+those. The number of digits follows the number of rows, so that a group holds about BUCKET_ROWS of them even if one
+source has them all; it never changes a place.
 
-Edge cases: a null text has size 0; the null source is a source of its own, last in order; documents of size 0
-are kept with ``taken`` 0 and no position; equal rows get neighbouring places; an empty table gives no rows;
-other columns are ignored.
+Edge cases: a null text has size 0; the null source is a source of its own, last in order; a row without doc_id is dealt by
+its text instead; documents of size 0 are kept with ``taken`` 0 and no position; equal rows get neighbouring places; an
+empty table gives no rows; very long texts are rows as any other; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,7 +23,13 @@ from pyspark.sql import functions as F
 
 from fathomline.llm.common import WORD, staged, text_or_empty
 
-BUCKET_DIGITS = 3
+#: Rows of a group aimed at, and its hexadecimal digits at most: 16 ** MOST_DIGITS sums of a source are added up in one task.
+BUCKET_ROWS, MOST_DIGITS = 500, 5
+
+
+def bucket_digits(rows: int) -> int:
+    """How many leading digits deal ``rows`` rows into groups of about BUCKET_ROWS, or MOST_DIGITS."""
+    return next((d for d in range(1, MOST_DIGITS) if rows <= BUCKET_ROWS * 16**d), MOST_DIGITS)
 
 
 def word_count(name: str = "text"):
@@ -62,11 +69,12 @@ def mix(docs: DataFrame, weights=(1, 2, 3), cap: int = 3, slopes=(-0.5, 0.0, 0.5
 
     ``carry`` names further columns of ``docs`` to keep (they travel through one shuffle).
     """
-    digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.md5(text_or_empty().cast("binary"))).cast("binary"))
     skey = F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col("source")))
     extra = [F.col(c).alias(f"carry_{c}") for c in carry]
     slim = docs.select("doc_id", "source", skey.alias("skey"), word_count().alias("size"), digest.alias("key"), *extra)
-    slim = staged(slim.withColumn("bucket", F.substring("key", 1, BUCKET_DIGITS)), "mix-sizes")
+    slim = staged(slim, "mix-sizes")
+    slim = slim.withColumn("bucket", F.substring("key", 1, bucket_digits(slim.count())))
     src = staged(source_targets(slim, weights, cap, slopes), "mix-sources")
 
     sums = slim.groupBy("skey", "bucket").agg(F.sum("size").alias("words"))
@@ -110,7 +118,7 @@ def query(docs: DataFrame) -> DataFrame:
 SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-         md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS key FROM documents
+         md5(coalesce(CAST(doc_id AS VARCHAR), md5(coalesce(text, '')))) AS key FROM documents
 ), s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM d GROUP BY source
 ), w AS (

@@ -3,8 +3,8 @@
 Folding: lower case, compatibility forms and accents of Latin letters kept, look-alike letters of other scripts
 and zero-width marks folded, digits and signs inside words read as the letters they imitate. Lexicon entries are
 whole words or word stems (prefixes); a hit must start at a word start, a whole word must also end at a word end,
-and a hit that lies inside an exception phrase does not count. The score is a logistic function of the weight of
-the hits, their weight over the square root of the text's words, and the number of different entries.
+and a hit that lies inside an exception phrase does not count. The score is a logistic function of three features, all over
+the square root of the text's words: the weight of the hits, its logarithm, and the logarithm of the number of different entries.
 
 The lexicon's weights come from labelled rows: a seed list of fixed entries, and words and stems whose share of
 toxic rows stands out. They are fitted on at most ``TRAIN_ROWS`` labelled rows, taken in the order of a hash of
@@ -12,7 +12,8 @@ doc_id. Only rows whose crc32(doc_id as text) mod 5 is not 0 are taken.
 
 Edge cases: a null or empty text has no hits and gets the score of the intercept; rows with a null doc_id are
 scored (held_out: null id counts as the text "null" would, false); repeated rows get equal scores; with no usable
-labels the seed list and fixed coefficients are used; an empty table gives no rows.
+labels the seed list and fixed coefficients are used; an empty table gives no rows; of several texts of one labelled
+doc_id the one with the least hash teaches; a very long text is matched whole, in one pass; other columns are kept.
 """
 
 from __future__ import annotations
@@ -97,7 +98,8 @@ class Matcher:
         if not found:
             return 0.0, 0.0, 0.0
         total = sum(w for *_, w in found)
-        return math.log1p(total), total / math.sqrt(1 + folded.count(" ")), math.log1p(len({folded[a:b] for a, b, _ in found}))
+        length = math.sqrt(1 + folded.count(" "))
+        return math.log1p(total / length), total / length, math.log1p(len({folded[a:b] for a, b, _ in found}) / length)
 
 
 def tokens_of(text: str) -> set[tuple[str, bool]]:
@@ -107,10 +109,11 @@ def tokens_of(text: str) -> set[tuple[str, bool]]:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """At most ``rows`` labelled texts outside the held-out fold."""
+    """At most ``rows`` labelled texts outside the held-out fold, one for each doc_id."""
     slim = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic is not null").where(~held_out())
     slim = slim.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    return docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(slim), "doc_id")
+    found = docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(slim), "doc_id")
+    return found.groupBy("doc_id", "toxic").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
 
 
 def learn_lexicon(rows: DataFrame, entries: int) -> dict[tuple[str, bool], float]:

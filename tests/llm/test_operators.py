@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import io
+import math
 import random
 import re
 import zlib
@@ -515,9 +516,56 @@ def test_mixed_rows(docs):
     assert words == +want
 
 
+def test_mixing_deals_rows_without_ids(spark):
+    rows = [(None, f"w{i} " * (i % 7), "en", "hot", 0) for i in range(300)] + [(i, "a b c", None, None, None) for i in range(20)]
+    df = spark.createDataFrame(rows, DOCS)
+    out = mixing.query(df).collect()
+    assert len(out) == 320 and sorted(r.size for r in out) == sorted(len(t.split()) for _, t, *_ in rows)
+    placed = [r.position for r in out if r.doc_id is None and r.position is not None]
+    assert len(set(placed)) == len(placed) > 200  # each has a place of its own
+    assert [mixing.bucket_digits(n) for n in (0, 8_000, 8_001, 10**12)] == [1, 1, 2, mixing.MOST_DIGITS]
+
+
+def test_mixing_places_do_not_depend_on_the_groups(docs, monkeypatch):
+    few = [tuple(r) for r in mixing.query(docs).collect()]
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 1)
+    assert [tuple(r) for r in mixing.query(docs).collect()] == few
+
+
 # -- 8
 
 
+def plain_hits(text, entries):
+    """Weight and different entries of the longest entry at each word start, by trying all entries at all places."""
+    folded, total, different = toxicity.fold(text), 0.0, set()
+    spared = [(m.start(), m.end()) for p in toxicity.EXCEPTIONS for m in re.finditer(rf"(?<![^\W\d_]){p}(?![^\W\d_])", folded)]
+    for a in range(len(folded)):
+        if a and folded[a - 1].isalpha():
+            continue
+        here = [(len(w), x) for (w, stem), x in entries.items() if folded.startswith(w, a) and (stem or not folded[a + len(w) : a + len(w) + 1].isalpha())]
+        if here:
+            size, weight = max(here)
+            if not any(x <= a and a + size <= y for x, y in spared):
+                total += weight
+                different.add(folded[a : a + size])
+    return total, different, folded.count(" ") + 1
+
+
+def test_matcher_against_all_entries_at_all_places(rows):
+    entries = {(w, False): x for w, x in toxicity.SEED.items()} | {("the", False): 1.0, ("ther", True): 1.5, ("ma", True): 0.5, ("lor", True): 0.25, ("и", True): 0.75}
+    m = toxicity.Matcher(entries)
+    texts = [t or "" for _, t, *_ in rows] + ["trash can trash", "take out the trash, 1d10t", "the therm there" * 50, "sore loser rule loser"]
+    for t in (t[:3000] for t in texts):
+        total, different, words = plain_hits(t, entries)
+        assert m.features(t) == pytest.approx((math.log1p(total / words**0.5), total / words**0.5, math.log1p(len(different) / words**0.5)))
+
+
+def test_one_text_teaches_for_a_repeated_id(spark):
+    docs = spark.createDataFrame([(1, t, "en", "s", 0) for t in ("a", "b", "b")] + [(2, None, None, None, None)], DOCS)
+    labels = spark.createDataFrame([(1, 1, 1), (1, 0, 0), (2, 1, 0)], "doc_id long, quality int, toxic int")
+    assert sorted(r.doc_id for r in toxicity.training_rows(docs, labels, 10).collect()) == [i for i in (1, 2) if zlib.crc32(str(i).encode()) % 5]
+
+
 @pytest.mark.parametrize(("written", "read"), [("1d10t", "idiot"), ("STυPID", "stupid"), ("morоn", "moron"), ("l0$er", "loser"), ("2021", "2021"), ("tra​sh", "trash"), ("ＩＤＩＯＴ", "idiot")])
 def test_fold(written, read):
     assert toxicity.fold(written) == read
