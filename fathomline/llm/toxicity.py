@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.llm.common import dicts, small_batches, text_or_empty
+from fathomline.llm.common import dicts, small_batches, staged, text_or_empty
 
 #: Labelled rows used at most to fit weights and coefficients.
 TRAIN_ROWS = 20_000
@@ -178,7 +178,7 @@ class Model:
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, entries: int = LEXICON_ENTRIES) -> Model:
     small_batches(docs.sparkSession)
-    sample = training_rows(docs, labels, rows)
+    sample = staged(training_rows(docs, labels, rows), "toxicity-sample")  # read three times; ``docs`` only once
     lexicon = learn_lexicon(sample, entries)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
