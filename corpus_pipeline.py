@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fathomline.llm import jaccard, mixing, packing, pii, toxicity
-from fathomline.llm.common import staged, table
+from fathomline.llm.common import scratch, staged, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -29,9 +29,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Of each group of documents whose five-word shingle sets link at a Jaccard similarity of 0.8 or more, the one with the least
     doc_id (on equal ids the least text hash, of equal rows one). Documents without words link with nothing and stay."""
     key = lambda h: F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.lit(":"), h.cast("string"))
-    found = jaccard.near_duplicates(docs, k=5, num=80, den=100)
-    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("h") == F.col("first_h")))
-    stay = staged(stay.select(key(F.col("h")).alias("near_key"), (F.col("n_shingles") == 0).alias("near_empty")).distinct(), "pipeline-kept")
+    with scratch(spark):
+        found = jaccard.near_duplicates(docs, k=5, num=80, den=100)
+        stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("h") == F.col("first_h")))
+        stay = staged(stay.select(key(F.col("h")).alias("near_key"), (F.col("n_shingles") == 0).alias("near_empty")).distinct(), "pipeline-kept", keep=True)
     rows = docs.select(*COLUMNS).withColumn("near_key", key(F.xxhash64(F.coalesce("text", F.lit(""))))).join(stay, "near_key")
     rows = rows.withColumn("near_row", F.row_number().over(W.partitionBy("near_key").orderBy("source", "lang")))
     return rows.where("near_empty or near_row = 1").select(*COLUMNS)
@@ -69,5 +70,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch(spark):
+            docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}", keep=True)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import functools
 import gc
@@ -9,6 +10,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,11 +45,45 @@ def _own_dir() -> str:
     return "file://" + tempfile.mkdtemp(prefix="fathomline-")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back: cuts lineage, survives lost executors."""
+#: The folders that each open ``scratch`` deletes at its end, the innermost last.
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """At the end, deletes what ``staged`` has written inside, but for what is to be kept: that is left to the scope around this one, if any."""
+    mine: list[str] = []
+    token = _scopes.set((*_scopes.get(), mine))
+    try:
+        yield
+    finally:
+        _scopes.reset(token)
+        conf = spark._jsparkSession.sessionState().newHadoopConf()
+        for path in mine:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(conf).delete(at, True)
+
+
+#: Whether the shuffle files of an execution go at its end; else they stay until the driver happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def staged(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder and read it back: cuts lineage, survives lost executors.
+
+    The files stay, but inside ``scratch`` they go at its end, with ``keep`` at the end of the scope around it. Nothing reads the
+    write's shuffle files again, so they go at once."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    scopes = _scopes.get()[: -1 if keep else None]
+    if scopes:
+        scopes[-1].append(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -17,7 +17,8 @@ copies of one text. What is connected by then is not compared again, and lists w
 dropped. Lists of at most SHORT classes are then met pair by pair; longer ones by blocks: the members of a list that
 are not in its largest component are the few, and only blocks of these meet other blocks, as matrices of
 bitmaps. In up to LINK_ROUNDS rounds each member names the one best partner it has in another component, so rows grow with the
-members, not with their pairs; those are compared and the components merged. In the end what is left unrefuted
+members, not with their pairs; those are compared and the components merged. A member that finds none has none and leaves; the first
+round is held over the small bitmaps of the profile, so that finer ones are made only of who is left. In the end what is left unrefuted
 between components is named whole, each pair in the first list that its members are seen to share. Pairs pass a size test and a
 parity-bitmap test (the bitmaps differ in no more bits than the sets do in members) before the sets themselves
 are compared. The sets are computed again from the texts for the classes that need them, found through a bitmap of bounded
@@ -42,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.llm.common import lean, small_batches, staged, text_or_empty
+from fathomline.llm.common import lean, scratch, small_batches, staged, text_or_empty
 from fathomline.llm.components import components
 from fathomline.llm.shingles import mix, shingle_sets
 
@@ -333,18 +334,21 @@ def _meetings(at: DataFrame, fine: DataFrame) -> DataFrame:
     """One row per member of a list and two blocks that meet there, the member in one of them.
 
     Members of the largest component of a list have blocks of their own, which meet only those of the others. Blocks
-    are drawn by hash; their number comes from counts and sizes, so no list is sorted or numbered anywhere."""
-    sizes = at.join(fine.select("cid", "n"), "cid").groupBy("sig", "label").agg(F.count("*").alias("c"), F.sum("n").alias("n"))
+    are drawn by hash; their number comes from counts and bytes, so no list is sorted or numbered anywhere. ``inner``: the
+    first block meets itself there too, so a list of one block for each kind has one row for each member."""
+    sizes = at.join(fine.select("cid", F.length("bits").alias("n")), "cid").groupBy("sig", "label").agg(F.count("*").alias("c"), F.sum("n").alias("n"))
     whole = sizes.groupBy("sig").agg(F.max_by("label", "c").alias("major"), F.sum("c").alias("c"), F.sum("n").alias("n"), F.max("c").alias("mc"), F.max_by("n", "c").alias("mn"))
-    cut = lambda c, n: F.greatest(F.ceil(c / BLOCK), F.ceil(2 * n / BLOCK_BYTES)).cast("int")
+    cut = lambda c, n: F.greatest(F.ceil(c / BLOCK), F.ceil(n / BLOCK_BYTES)).cast("int")
     whole = whole.select("sig", "major", cut(F.col("c") - F.col("mc"), F.col("n") - F.col("mn")).alias("few"), cut(F.col("mc"), F.col("mn")).alias("many"))
     rows = at.join(whole, "sig").join(fine, "cid")
     draw = F.xxhash64("cid", F.lit(11))
     block = F.when(F.col("label") == F.col("major"), F.col("few") + F.pmod(draw, F.col("many"))).otherwise(F.pmod(draw, F.col("few"))).cast("int")
     rows = rows.withColumn("block", block)
     meets = F.when(F.col("block") >= F.col("few"), F.col("few")).otherwise(F.col("few") + F.col("many"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), meets - 1)))
-    return rows.select("sig", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cid", "n", "label", "bits", "names")
+    rows = rows.withColumn("other", F.explode(F.filter(F.sequence(F.lit(0), meets - 1), lambda x: x != F.col("block"))))
+    rows = rows.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+    inner = F.col("j") == F.col("few") + F.pmod("i", "many")
+    return rows.select("sig", "i", "j", inner.alias("inner"), "block", "cid", "n", "label", "bits", "names")
 
 
 def _of_blocks(at: DataFrame, fine: DataFrame, num: int, den: int, whole: bool) -> DataFrame:
@@ -354,7 +358,7 @@ def _of_blocks(at: DataFrame, fine: DataFrame, num: int, den: int, whole: bool)
     bits to spare, so at most one row for each member of a block and then for each member."""
     kinds = [("cid", pa.int64()), ("other", pa.int64()), ("spare", pa.int64())]
 
-    def meet(sig: int, i: int, j: int, held: list[tuple]) -> Iterator[pa.RecordBatch]:
+    def meet(sig: int, i: int, j: int, inner: bool, held: list[tuple]) -> Iterator[pa.RecordBatch]:
         groups: dict[tuple[int, int], list[tuple]] = {}
         for block, cid, n, label, bits, names in held:
             groups.setdefault((block, len(bits)), []).append((cid, n, label, bits, names))
@@ -366,7 +370,7 @@ def _of_blocks(at: DataFrame, fine: DataFrame, num: int, den: int, whole: bool)
             parts[key] = (*(np.array([x[c] for x in g], np.int64) for c in (0, 1, 2)), np.frombuffer(b"".join(x[3] for x in g), np.uint64).reshape(len(g), -1), named)
         for (x, wx), (ca, na, la, ba, sa) in parts.items():
             for (y, wy), (cb, nb, lb, bb, sb) in parts.items():
-                if x != i or y != j or (i == j and wx > wy):
+                if not (x == i and (y == j or inner and y == i and wx <= wy)):
                     continue
                 na2, nb2 = na[:, None], nb[None, :]
                 ok = (np.minimum(na2, nb2) * den >= np.maximum(na2, nb2) * num) & (la[:, None] != lb[None, :])
@@ -393,11 +397,11 @@ def _of_blocks(at: DataFrame, fine: DataFrame, num: int, den: int, whole: bool)
         now, held = None, []
         for b in batches:
             for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if now != r[:3]:
+                if now != r[:4]:
                     if held:
                         yield from meet(*now, held)
-                    now, held = r[:3], []
-                held.append(r[3:])
+                    now, held = r[:4], []
+                held.append(r[4:])
         if held:
             yield from meet(*now, held)
 
@@ -462,29 +466,29 @@ class _State:
         two = self.labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
         return pairs.join(one, "a", "left").join(two, "b", "left").where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
 
-    def compare(self, pairs: DataFrame) -> bool:
-        """Whether any of the pairs link; if so, their components are merged."""
+    def compare(self, pairs: DataFrame) -> tuple[bool, DataFrame]:
+        """Whether any of the pairs link, and the classes that stand in them; if any link, their components are merged."""
         pairs = staged(pairs, "jaccard-compare")
-        if not pairs.limit(1).count():
-            return False
         nodes = self.nodes(pairs)
+        if not pairs.limit(1).count():
+            return False, nodes
         self.fetch(nodes)
         sets = self.sets.join(nodes, "cid", "left_semi")
         found = staged(_verified(pairs, sets, self.num, self.den), "jaccard-links")
         linked = bool(found.limit(1).count())
         if linked:
             self.join(found)
-        return linked
+        return linked, nodes
 
     def join(self, links: DataFrame) -> None:
         """Merge components along links: these are few nodes, the labels so far, however large the components."""
         if self.labels is None:
-            self.labels = staged(components(links), "jaccard-labels")
+            self.labels = components(links)
             return
         one = self.labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
         two = self.labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
         roots = links.join(one, "a", "left").join(two, "b", "left").select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
-        merged = staged(components(roots), "jaccard-merged")
+        merged = components(roots)
         moved = merged.select(F.col("node").alias("label"), F.col("label").alias("to"))
         old = self.labels.join(moved, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
         new = merged.join(self.labels.select("node"), "node", "left_anti").select("node", "label")
@@ -514,9 +518,10 @@ def linked_classes(docs: DataFrame, k: int, num: int, den: int, boundary: int |
     scheme = Scheme(num, den, boundary)
 
     # Lists of two classes or more, each class once.
-    entries = staged(_signatures(docs, k, shared, order, scheme), "jaccard-signatures")
-    several = entries.groupBy("sig").agg(F.min("cid").alias("first"), F.max("cid").alias("last")).where("first <> last").select("sig", "first")
-    lists = staged(entries.join(several, "sig").groupBy("sig", "cid", "first").agg(F.lit(1).alias("one")).drop("one"), "jaccard-lists")
+    with scratch(docs.sparkSession):
+        entries = staged(_signatures(docs, k, shared, order, scheme), "jaccard-signatures")
+        several = entries.groupBy("sig").agg(F.min("cid").alias("first"), F.max("cid").alias("last")).where("first <> last").select("sig", "first")
+        lists = staged(entries.join(several, "sig").groupBy("sig", "cid", "first").agg(F.lit(1).alias("one")).drop("one"), "jaccard-lists", keep=True)
     bits = staged(rows.where("n > 0").groupBy("cid").agg(F.first("bits").alias("bits"), F.first("n").alias("n")), "jaccard-bitmaps")
     state = _State(docs, rows, k, shared, num, den)
 
@@ -541,37 +546,46 @@ def linked_classes(docs: DataFrame, k: int, num: int, den: int, boundary: int |
 
     at = state.still_open(at.select("sig", "cid", "first"), SHORT)
     if at.limit(1).count():
-        members = staged(at.select("cid").distinct(), "jaccard-members")
-        state.fetch(members)
-        fine = staged(_fine(state.sets.join(members, "cid", "left_semi")), "jaccard-fine")
 
-        def of_blocks(whole: bool) -> DataFrame:
+        def of_blocks(by: DataFrame, whole: bool) -> DataFrame:
             names = at.groupBy("cid").agg(F.sort_array(F.collect_list("sig")).alias("names")).select("cid", F.slice("names", 1, NAMED).alias("names"))
-            return _of_blocks(at.select("sig", "cid", "label"), fine.join(names, "cid"), num, den, whole)
-
-        for _ in range(LINK_ROUNDS):
-            if not state.compare(of_blocks(False)):
+            return _of_blocks(at.select("sig", "cid", "label"), by.join(names, "cid"), num, den, whole)
+
+        def fine() -> DataFrame:
+            members = staged(at.select("cid").distinct(), "jaccard-members")
+            state.fetch(members)
+            return staged(_fine(state.sets.join(members, "cid", "left_semi")), "jaccard-fine")
+
+        by = bits
+        for turn in range(LINK_ROUNDS):
+            linked, named = state.compare(of_blocks(by, False))
+            # Who has a partner names one, so all others are done. Lists that become short by that have not been met yet.
+            at = state.still_open(at.select("sig", "cid", "first").join(named, "cid", "left_semi"))
+            if turn == 0:
+                by = fine()
+            if not linked:
                 break
-            at = state.still_open(at.select("sig", "cid", "first"), SHORT)
-        state.compare(of_blocks(True))
+        state.compare(of_blocks(by if by is not bits else fine(), True))
     return rows.select("doc_id", "h", "n", "cid"), state.labels
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, boundary: int | None = None) -> DataFrame:
     """Per document (doc_id, h, n_shingles, component_id, first_h): the component's least doc_id and, of the rows with
     it, the least xxhash64 of a text; h is that of the row's own text."""
-    rows, labels = linked_classes(docs, k, num, den, boundary)
-    if labels is None:
-        named = rows.withColumn("label", F.col("cid"))
-    else:
-        named = rows.join(labels, F.col("cid") == F.col("node"), "left").select("doc_id", "h", "n", F.coalesce("label", "cid").alias("label"))
-    named = named.select("doc_id", "h", "n", "label")
-    least = named.where("label is not null").groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("least"), F.count("*").alias("members"))
-    # Components of one need no join, so only those of more meet.
-    least = staged(least.where("members > 1").select("label", "least"), "jaccard-least")
-    out = named.join(least, "label", "left")
-    alone = F.col("least").isNull()
-    return out.select("doc_id", "h", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("least.doc_id")).alias("component_id"), F.when(alone, F.col("h")).otherwise(F.col("least.h")).alias("first_h"))
+    with scratch(docs.sparkSession):
+        rows, labels = linked_classes(docs, k, num, den, boundary)
+        if labels is None:
+            named = rows.withColumn("label", F.col("cid"))
+        else:
+            named = rows.join(labels, F.col("cid") == F.col("node"), "left").select("doc_id", "h", "n", F.coalesce("label", "cid").alias("label"))
+        named = named.select("doc_id", "h", "n", "label")
+        least = named.where("label is not null").groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("least"), F.count("*").alias("members"))
+        # Components of one need no join, so only those of more meet.
+        least = staged(least.where("members > 1").select("label", "least"), "jaccard-least")
+        out = named.join(least, "label", "left")
+        alone = F.col("least").isNull()
+        out = out.select("doc_id", "h", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("least.doc_id")).alias("component_id"), F.when(alone, F.col("h")).otherwise(F.col("least.h")).alias("first_h"))
+        return staged(out, "jaccard-found", keep=True)
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -664,6 +665,36 @@ def test_long_lists_meet_by_blocks(spark, monkeypatch, rounds):
     assert made and made[-1][0] and all(n <= len(rows) for whole, n in made if not whole)
 
 
+def test_members_without_a_partner_leave(spark, monkeypatch):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    shared = " ".join(word() for _ in range(30))  # most of each text, so that all of them stand in the lists of its shingles
+    rows = [(i, f"{shared} {' '.join(word() for _ in range(20))}", "en", "s", 0) for i in range(40)] + near_copies(1)[:20]
+    rows = [(i, *r[1:]) for i, r in enumerate(rows)]
+    monkeypatch.setattr(jaccard, "SHORT", 2)
+    made, kept = [], jaccard._meetings
+    monkeypatch.setattr(jaccard, "_meetings", lambda at, fine: (made.append((at.count(), kept(at, fine).count())), kept(at, fine))[1])
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.near_duplicates(spark.createDataFrame(rows, DOCS).repartition(2), 4, 85, 100).collect())
+    assert got == plain_components(rows, 4, 85, 100)
+    assert made[0][0] >= 40 and made[0][0] == made[0][1]  # a row for each member of a list that fits a block
+    assert all(n < made[0][1] / 2 for _, n in made[1:])
+
+
+def test_only_the_result_stays_in_the_shared_folder(spark):
+    from fathomline.llm.common import scratch, shared_dir, staged
+
+    at = Path(shared_dir(spark).removeprefix("file://"))
+    before = {p.name for p in at.glob("*")}
+    out = jaccard.near_duplicates(spark.createDataFrame(some_docs(seed=2), DOCS))
+    assert {p.name.rpartition("-")[0] for p in at.glob("*") if p.name not in before} == {"jaccard-found"} and out.count()
+    with scratch(spark):
+        with scratch(spark):
+            kept = staged(spark.range(3), "kept", keep=True)
+            gone = staged(spark.range(3), "gone")
+        assert kept.count() == 3 and not list(at.glob("gone-*"))
+    assert not list(at.glob("kept-*")) and gone.columns == ["id"]
+
+
 def test_sets_of_one_name_are_told_apart(spark, monkeypatch):
     rows = some_docs(seed=3, n=40)
     df = spark.createDataFrame(rows, DOCS).repartition(2)
