@@ -30,13 +30,15 @@ import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fathomline.llm.common import dicts, shared_dir, small_batches, staged
 
 ARCHIVE_BYTES = 32 << 20
 REVISIT_BYTES = 1000
+#: Places of the bitmap that tells which pages may be revisits, at most.
+FILTER_BITS = 1 << 24
 DATA, INDEX = "archive/data.warc", "indexes/index.cdxj"
 # Scheme names of Hadoop's connectors, by the names of the same stores in pyarrow.
 SCHEMES = {"s3a": "s3", "s3n": "s3"}
@@ -228,22 +230,44 @@ def read_packages(manifest: DataFrame) -> DataFrame:
     return manifest.select("path").repartition(min(files, 100_000)).mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
 
 
+def revisit_filter(revisits: DataFrame, rows: int) -> DataFrame:
+    """One row, ``bits``: a bitmap of the (page_id, digest) of revisits as 64-bit words, of up to ``FILTER_BITS`` places."""
+    size = min(FILTER_BITS, max(1 << 10, 1 << (16 * rows).bit_length()))
+    place = F.pmod(F.xxhash64("page_id", "digest"), F.lit(size))
+    words = revisits.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))).alias("bits"))
+    full = revisits.sparkSession.range(size // 64).withColumnRenamed("id", "word").join(words, "word", "left").select("word", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))
+    return staged(full.agg(F.transform(F.sort_array(F.collect_list(F.struct("word", "bits"))), lambda x: x["bits"]).alias("bits")), "warc-filter")  # a bounded number of words
+
+
 def as_records(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
     """Pages as records, responses and revisits decided.
 
     Only (digest, largest page) of digests that occur more than once meet in a shuffle, after partial
-    aggregation; each page then gets its decision by a join on (page, digest), not on the digest alone, so
-    that thousands of copies of one page are dealt to all tasks.
+    aggregation; the revisits' (page, digest) make a bitmap. Pages that it does not have are responses and stay in the task that
+    reads them, so their payloads are not shuffled. The others (the revisits, and responses that share a place of the bitmap with one) get their
+    decision by a join on (page, digest), not on the digest alone, so that thousands of copies of one page are dealt to all tasks.
+    The bitmap's size changes what is shuffled, never the result.
     """
     html = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     pages = pages.select("page_id", "url", html.alias("payload")).select("*", F.sha1("payload").alias("digest"), F.octet_length("payload").cast("long").alias("size"))
     slim = staged(pages.where(F.col("size") >= least).select("page_id", "digest"), "warc-digests")
     top = slim.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1").drop("n")
     top = staged(top, "warc-responses")  # a table on its own: a skewed join of it can be split, or it is broadcast by its size
-    revisits = slim.distinct().join(top, "digest").where("page_id is null or page_id < refers_to").where("refers_to is not null")
-    joined = pages.alias("p").join(revisits.alias("r"), F.col("p.page_id").eqNullSafe(F.col("r.page_id")) & (F.col("p.digest") == F.col("r.digest")), "left")
+    revisits = staged(slim.distinct().join(top, "digest").where("page_id is null or page_id < refers_to").where("refers_to is not null"), "warc-revisits")
+
+    def records(of: DataFrame, kind: Column, refers: Column) -> DataFrame:
+        return of.select("p.page_id", "p.url", kind.alias("kind"), refers.alias("refers_to"), "p.payload", "p.digest", "p.size")
+
+    alone = lambda of: records(of.alias("p"), F.lit("response"), F.lit(None).cast(revisits.schema["refers_to"].dataType))
+    rows = revisits.count()
+    if not rows:
+        return alone(pages)
+    bits = revisit_filter(revisits, rows)
+    place = F.pmod(F.xxhash64("page_id", "digest"), F.size(bits.scalar()).cast("long") * 64)
+    found = (F.col("size") >= least) & (F.getbit(F.get(bits.scalar(), F.shiftright(place, 6).cast("int")), (place % 64).cast("int")) == 1)
+    joined = pages.where(found).alias("p").join(revisits.alias("r"), F.col("p.page_id").eqNullSafe(F.col("r.page_id")) & (F.col("p.digest") == F.col("r.digest")), "left")
     kind = F.when(F.col("r.refers_to").isNull(), "response").otherwise("revisit")
-    return joined.select("p.page_id", "p.url", kind.alias("kind"), "r.refers_to", "p.payload", "p.digest", "p.size")
+    return alone(pages.where(~found)).unionByName(records(joined, kind, F.col("r.refers_to")))
 
 
 def query(pages: DataFrame) -> DataFrame:

@@ -745,6 +745,30 @@ def test_warc_round_trip(spark):
     assert manifest.count() > 2 and all(bytes(r.payload) == (dict((p, h) for p, _, h in rows)[r.page_id] or "").encode() for r in out if r.record_type == "response")
 
 
+@pytest.mark.parametrize("bits", [64, 1 << 24])
+def test_warc_only_pages_that_may_be_revisits_are_shuffled(spark, monkeypatch, bits):
+    def moved(df) -> int:
+        """Rows that the plan of ``df`` brings to a shuffle, of those that have a payload."""
+        rows, todo = 0, [df._jdf.queryExecution().optimizedPlan()]
+        while todo:
+            node = todo.pop()
+            under = [node.children().apply(i) for i in range(node.children().size())]
+            if node.nodeName() == "Join":
+                rows += spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, under[0]).count()
+            todo += under
+        return rows
+
+    monkeypatch.setattr(warczip, "FILTER_BITS", bits, raising=False)
+    alone = [(n, "u", f"<p>{n}" + "x" * 1200) for n in range(200)] + [(1000 + n, "u", "small") for n in range(50)]
+    copies = [(2000 + n, "u", "<p>" + "y" * 1500) for n in range(20)] + [(None, "u", "<p>" + "y" * 1500)]
+    frame = lambda rows: spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    assert moved(warczip.as_records(frame(alone))) == 0
+    records = warczip.as_records(frame(alone + copies))
+    assert 20 <= moved(records) <= (21 + 200 if bits == 64 else 40)
+    got = Counter((r.page_id, r.record_type, r.refers_to) for r in warczip.read_packages(warczip.write_packages(records)).collect())
+    assert got == Counter((n, "revisit" if n is None or 2000 <= n < 2019 else "response", 2019 if n is None or 2000 <= n < 2019 else None) for n, _, _ in alone + copies)
+
+
 def test_zip_directories():
     import struct
     import zipfile
